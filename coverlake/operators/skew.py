@@ -1,0 +1,22 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+
+
+def salted_semi_join(
+    rows: DataFrame, keys: DataFrame, on: list[str], spread: list[str], salts: int = SALTS
+) -> DataFrame:
+    """Rows whose key is in `keys`, with every key spread over `salts` tasks.
+
+    The salt comes from the row's own columns, so a recomputed task gives the same salt. `keys` is repeated per salt;
+    it is a distinct key table and stays far smaller than the rows.
+    """
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    salted_keys = keys.select(*on).withColumn("_salt", every_salt)
+    return salted_rows.join(salted_keys, [*on, "_salt"], "left_semi").drop("_salt")
