@@ -17,6 +17,8 @@ from coverlake.sources.manifest import manifest_table
 from coverlake.sources.raw_csv import PATH, SOURCE_FILE, read_csv_files
 from coverlake.specs import REGISTRY
 
+# Within a directory a file is known by its name, whatever form its path takes in different scans.
+FILE_NAME = "_file_name"
 UNKNOWN = "unknown"
 SKIPPED = "skipped"
 
@@ -68,8 +70,9 @@ def _gate_entity(
     """Gate and land the new files of one entity; returns (dir_id, file_name, uri, outcome, statistics)."""
     dir_id = entry["dir_id"]
     spec = REGISTRY[entity]
-    headers = read_headers(files).select(F.col("path").alias("source_file"), "columns")
-    rows = read_csv_files(spark, files)
+    file_name = names.base_name(F.col(PATH))
+    headers = read_headers(files).select(names.base_name(F.col("path")).alias("source_file"), "columns")
+    rows = read_csv_files(spark, files).withColumn(FILE_NAME, file_name)
     complete_rows = rows
     for name in spec.required:
         if name not in complete_rows.columns:
@@ -77,25 +80,24 @@ def _gate_entity(
 
     # The verdict is read by two row writes, the ledger and the audit, so it is written once as a table.
     stats_path = lake.quality("file_stats", run_id, dir_id, entity)
-    gate.file_stats(complete_rows, spec, headers=headers).write.mode("overwrite").parquet(stats_path)
+    gate.file_stats(complete_rows, spec, FILE_NAME, headers).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
-    gate.violations(complete_rows, spec, headers=headers).write.mode("overwrite").parquet(
+    gate.violations(complete_rows, spec, FILE_NAME, headers).write.mode("overwrite").parquet(
         lake.quality("violations", run_id, dir_id, entity)
     )
 
     own = entity in [f["entity"] for f in entry["files"]]
-    file_name = names.base_name(F.col(PATH))
-    uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), file_name)
-    accepted, rejected = gate.split_by_verdict(rows, stats)
+    uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), F.col(FILE_NAME))
+    accepted, rejected = gate.split_by_verdict(rows, stats, FILE_NAME)
     bronze_path = f"{lake.root}/{entry['gcs_prefix']}/{entity}"
     if own:
         tagged = with_tags(accepted, dir_id, entity, day).withColumn(SOURCE_FILE, uri)
-        land_files(tagged, bronze_path, day, file_name)
+        land_files(tagged, bronze_path, day, F.col(FILE_NAME))
         for bare in stats.where(F.col("accepted") & (F.col("rows_raw") == 0)).collect():
-            land_bare_header(tagged, bronze_path, day, bare.source_file.rsplit("/", 1)[-1])
-    land_files(rejected, lake.dead_letter(dir_id, entity), day, file_name)
+            land_bare_header(tagged, bronze_path, day, bare.source_file)
+    land_files(rejected, lake.dead_letter(dir_id, entity), day, F.col(FILE_NAME))
 
-    name = names.base_name(F.col("source_file"))
+    name = F.col("source_file")
     landed_uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), name)
     dead_uri = dead_letter_uri(lake.root, F.lit(dir_id), F.lit(entity), F.lit(day).cast("date"), name)
     outcome = F.when(~F.col("accepted"), ledger.REJECTED).when(F.lit(own), ledger.LANDED).otherwise(SKIPPED)

@@ -16,6 +16,9 @@ RETENTION_DAYS = {"bronze": 90, "dead_letter": 30}
 # Fixed value: the tag that says how a landed file came in.
 SOURCE_TAG = "sftp_ingestion"
 
+# Columns of a raw frame that are not part of a landed file.
+NOT_STORED = [COLUMNS, OVERFLOW, PATH, "_file_name"]
+
 FILE_PARTITIONS = ["year", "month", "day", "file"]
 
 
@@ -48,7 +51,7 @@ def land_files(rows: DataFrame, path: str, day: date, file_name: Column) -> None
     that holds most of the rows.
     """
     parts = {**names.date_partition_columns(F.lit(day).cast("date")), "file": file_name}
-    kept = rows.withColumns(parts).drop(COLUMNS, OVERFLOW, PATH)
+    kept = rows.withColumns(parts).drop(*NOT_STORED)
     (
         kept.hint("rebalance", "file")
         .write.mode("overwrite")
@@ -62,7 +65,7 @@ def land_files(rows: DataFrame, path: str, day: date, file_name: Column) -> None
 
 def land_bare_header(rows: DataFrame, path: str, day: date, file_name: str) -> None:
     """Land an accepted file that has a header and no rows."""
-    empty = rows.drop(COLUMNS, OVERFLOW, PATH).limit(0)
+    empty = rows.drop(*NOT_STORED).limit(0)
     target = f"{path}/{names.date_path(day)}/file={file_name}"
     empty.write.mode("overwrite").option("header", True).csv(target)
 

@@ -35,27 +35,58 @@ LISTING_TYPE = T.StructType(
 # Files up to this size are hashed as one cell by the built-in function; longer ones are read in chunks.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
+LISTING_BATCH = 10_000
 
 
 def path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def _filesystem(path: str):
+    """Filesystem and inner path for a path as Spark writes it (not URL-encoded)."""
+    from pyarrow import fs
+
+    scheme, found, rest = path.partition(":")
+    if not found or scheme == "file":
+        return fs.LocalFileSystem(), "/" + (rest if found else path).lstrip("/")
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+
+
+def open_stream(path: str):
+    """A sequential byte stream, opened on the executor."""
+    filesystem, inner = _filesystem(path)
+    return filesystem.open_input_stream(inner)
+
+
+def _listing_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for folder in batch["folder"]:
+            filesystem, inner = _filesystem(folder)
+            found = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+            files = [f for f in found if f.type == fs.FileType.File]
+            for start in range(0, len(files), LISTING_BATCH):
+                part = files[start : start + LISTING_BATCH]
+                yield pd.DataFrame(
+                    {
+                        "file_name": [f.base_name for f in part],
+                        "path": [f"{folder.rstrip('/')}/{f.base_name}" for f in part],
+                        "length": [f.size for f in part],
+                        "modified_at": pd.to_datetime([f.mtime_ns // 1000 for f in part], unit="us", utc=True),
+                    }
+                )
+
+
 def list_directory(spark: SparkSession, path: str, dir_id: str) -> DataFrame:
-    """Files directly in a folder, dot-files left out; an absent folder lists as empty. File contents are not read."""
-    try:
-        files = spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return empty_frame(spark, LISTING_TYPE)
-    return files.select(
-        F.lit(dir_id).alias("dir_id"),
-        names.base_name(F.col("path")).alias("file_name"),
-        "path",
-        "length",
-        F.col("modificationTime").alias("modified_at"),
-    ).where(names.is_visible(F.col("file_name")))
+    """Files directly in a folder, dot-files left out; an absent folder lists as empty.
+
+    A file scan would leave out empty files, which here count as arrived and fail the gate, so one task per folder asks
+    the filesystem.
+    """
+    schema = "file_name string, path string, length long, modified_at timestamp"
+    files = spark.range(1).select(F.lit(path).alias("folder")).mapInPandas(_listing_batches, schema)
+    return files.where(names.is_visible(F.col("file_name"))).select(F.lit(dir_id).alias("dir_id"), "*")
 
 
 def list_landing(spark: SparkSession, root: str, directories: list[dict]) -> DataFrame:
@@ -87,18 +118,6 @@ def read_sidecars(spark: SparkSession, path: str, suffix: str = names.SIDECAR_SU
     )
 
 
-def open_stream(path: str):
-    """A sequential byte stream for a path as Spark lists it (not URL-encoded), opened on the executor."""
-    from pyarrow import fs
-
-    scheme, found, rest = path.partition(":")
-    if not found or scheme == "file":
-        local = "/" + (rest if found else path).lstrip("/")
-        return fs.LocalFileSystem().open_input_stream(local)
-    filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
-    return filesystem.open_input_stream(inner)
-
-
 def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []

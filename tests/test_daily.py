@@ -5,7 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CLAIMS, DAY, POLICIES, PREMIUMS, land_day, write_csv, write_sidecar
+from conftest import CLAIMS, DAY, PREMIUMS, land_day, write_csv, write_sidecar
 from coverlake.operators.arrival import ArrivalIncomplete
 from coverlake.operators.checksum import ChecksumFailed
 from coverlake.operators.ledger import DateLedger, FileLedger
@@ -187,7 +187,3 @@ def test_backfill_is_one_job_over_pending_dates_and_late_files_win(spark, tmp_pa
     book = DateLedger(spark, lake.silver_ledger)
     book.reset("claims")
     assert book.is_first_run("claims") and len(silver_backfill(spark, lake, "claims")) == 3
-
-
-def test_policy_fixture_is_untouched():
-    assert POLICIES[1]["broker_id"] == ""
