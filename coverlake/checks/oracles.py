@@ -266,21 +266,22 @@ VALUES = {"text": lambda c: c, "date": day, "double": number, "int": number}
 def failures(entity: str) -> str:
     """One row per failed test, with the row's order so that bad rows can be counted."""
     parts = []
+    key_text = f"(CASE WHEN {KEYS[entity]} IN ({GATE_TOKENS}) THEN NULL ELSE {KEYS[entity]} END)"
     for column, kind, nullable, checks in GATE[entity]:
         t = f"(CASE WHEN {column} IN ({GATE_TOKENS}) THEN NULL ELSE {column} END)"
-        base = f"SELECT _source_file, _rn, {t} AS t, {VALUES[kind](t)} AS v FROM raw"
+        base = f"SELECT _source_file, _rn, {key_text} AS row_key, {t} AS t, {VALUES[kind](t)} AS v FROM raw"
         tests = [] if nullable else [("not_nullable", "t IS NULL")]
         if kind != "text":
             tests.append(("coerce_dtype", "t IS NOT NULL AND v IS NULL"))
         tests += [(name, f"v IS NOT NULL AND {bad}") for name, bad in checks]
         for name, bad in tests:
             parts.append(
-                f"SELECT _source_file AS source_file, _rn, '{column}' AS column_name, '{name}' AS check_name, "
+                f"SELECT _source_file AS source_file, _rn, row_key, '{column}' AS column_name, '{name}' AS check_name, "
                 f"t AS failure_value FROM ({base}) AS b WHERE {bad}"
             )
     key = KEYS[entity]
     parts.append(
-        f"SELECT _source_file, _rn, '{key}', 'field_uniqueness', k FROM (SELECT _source_file, _rn, {key} AS k, "
+        f"SELECT _source_file, _rn, k, '{key}', 'field_uniqueness', k FROM (SELECT _source_file, _rn, {key} AS k, "
         f"count(*) OVER (PARTITION BY _source_file, {key}) AS n FROM raw) AS u WHERE n > 1 AND k IS NOT NULL"
     )
     return "\nUNION ALL ".join(parts)
@@ -409,7 +410,7 @@ ORACLES: dict[str, str] = {
     **{f"silver_{e}": f"SELECT * EXCLUDE (_ord) FROM ({silver(e)}) AS s" for e in KEYS},
     **GOLD,
     **{
-        f"violations_{e}": f"WITH {gate_ctes(e)} SELECT source_file, column_name, check_name, failure_value FROM failed"
+        f"violations_{e}": f"WITH {gate_ctes(e)} SELECT source_file, row_key, column_name, check_name, failure_value FROM failed"
         for e in KEYS
     },
     "file_stats": ALL_STATS,

@@ -52,9 +52,7 @@ def agg_query(entity: str, build: Callable) -> Query:
 
 
 def violations_query(entity: str) -> Query:
-    return lambda spark, sf_dir: gate.violations(
-        raw_sample(spark, sf_dir, entity), REGISTRY[entity], spread=SAMPLE_ORDER
-    )
+    return lambda spark, sf_dir: gate.violations(raw_sample(spark, sf_dir, entity), REGISTRY[entity])
 
 
 def _per_entity(build: Callable[[DataFrame, object], DataFrame]) -> Query:

@@ -61,7 +61,10 @@ def strip(cell: str) -> str:
 
 
 def upper_strip(cell: str) -> str:
-    return strip(f"upper({cell})")
+    """Upper case without surrounding white space. Cells that begin and end with a visible ASCII character, nearly all,
+    skip the costly trim."""
+    clean = " AND ".join(f"substr({cell}, {at}, 1) BETWEEN '!' AND '~'" for at in (1, -1))
+    return f"CASE WHEN {clean} THEN upper({cell}) ELSE {strip(f'upper({cell})')} END"
 
 
 def to_date(cell: str) -> str:
@@ -74,8 +77,11 @@ def to_date(cell: str) -> str:
 
 def to_double(cell: str) -> str:
     """Plain decimal or exponent notation; the pattern keeps out what the SQL cast takes beyond it (`1d`, `nan`)."""
-    text = strip(cell)
-    return f"CASE WHEN {text} RLIKE '{NUMBER_PATTERN}' THEN try_cast({text} AS DOUBLE) END"
+    padded = NUMBER_PATTERN.replace("^", f"^[{STRIP_CHARS}]*").replace("$", f"[{STRIP_CHARS}]*$")
+    return (
+        f"CASE WHEN {cell} RLIKE '{NUMBER_PATTERN}' THEN try_cast({cell} AS DOUBLE) "
+        f"WHEN {cell} RLIKE '{padded}' THEN try_cast({strip(cell)} AS DOUBLE) END"
+    )
 
 
 def to_int(cell: str) -> str:

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.functions import cells
-from coverlake.operators.skew import salted_semi_join
-from coverlake.sources.raw_csv import COLUMNS, OVERFLOW, ROW_ORDER, SOURCE_FILE
+from coverlake.sources.raw_csv import COLUMNS, OVERFLOW, SOURCE_FILE
 from coverlake.specs import EntitySpec
 
 MISSING_COLUMN = "column_in_dataframe"
@@ -20,12 +19,18 @@ COERCION = "coerce_dtype"
 UNIQUE = "field_uniqueness"
 TOO_MANY_CELLS = "too_many_cells"
 
-VIOLATION_COLUMNS = ["source_file", "column_name", "check_name", "failure_value"]
+VIOLATION_COLUMNS = ["source_file", "row_key", "column_name", "check_name", "failure_value"]
+
+# Rows one task writes out at most for one repeated key before another task takes over.
+REPEAT_CHUNK = 10_000
 
 
 def strict_int(text: str) -> str:
     trimmed = cells.strip(text)
-    return f"CASE WHEN {trimmed} RLIKE '{cells.WHOLE_PATTERN}' THEN try_cast({trimmed} AS BIGINT) END"
+    return (
+        f"CASE WHEN {text} RLIKE '{cells.WHOLE_PATTERN}' THEN try_cast({text} AS BIGINT) "
+        f"WHEN {trimmed} RLIKE '{cells.WHOLE_PATTERN}' THEN try_cast({trimmed} AS BIGINT) END"
+    )
 
 
 # The boolean column takes any text, so it has no parser and cannot fail.
@@ -74,7 +79,11 @@ def _carried(rows: DataFrame, source: str) -> list[str]:
 
 
 def value_violations(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE) -> DataFrame:
-    """One row per failed test of a row. Only failing rows build the list of failures."""
+    """One row per failed test of a row.
+
+    Only failing rows build the list of failures. The outer explode keeps the test on its result: a filter below it
+    would be pushed through the projections and repeat every parse.
+    """
     view = gate_view(rows, spec, _carried(rows, source))
     tests = row_tests(spec, view.columns)
     failures = ", ".join(
@@ -83,9 +92,14 @@ def value_violations(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FIL
         for name, check, failing in tests
     )
     return (
-        view.where(_any_failing(tests))
-        .selectExpr(f"{source} AS source_file", f"inline(array_compact(array({failures})))")
-        .select(*VIOLATION_COLUMNS)
+        view.selectExpr(
+            f"{source} AS source_file",
+            f"{spec.key} AS row_key",
+            f"CASE WHEN {_any_failing(tests)} THEN array_compact(array({failures})) END AS failures",
+        )
+        .select("source_file", "row_key", F.explode_outer("failures").alias("failure"))
+        .where("failure IS NOT NULL")
+        .select("source_file", "row_key", "failure.*")
     )
 
 
@@ -100,20 +114,22 @@ def duplicate_keys(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE)
     )
 
 
-def uniqueness_violations(
-    rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE, spread: list[str] = ROW_ORDER
-) -> DataFrame:
+def uniqueness_violations(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE) -> DataFrame:
     """One row per row whose key repeats in its file.
 
-    The repeated keys are found by a pre-aggregated count and joined back with a salt taken from the `spread` columns,
-    since a repeated key is by nature a heavy one.
+    A pre-aggregated count says how often to write each key, so the rows are not read again. A key that fills a large
+    part of a file is written in chunks by many tasks.
     """
-    keyed = rows.selectExpr(
-        f"{source} AS source_file", f"{_text(spec.key)} AS key_value", f"xxhash64({', '.join(spread)}) AS _spread"
+    chunks = duplicate_keys(rows, spec, source).selectExpr(
+        "*", f"explode(sequence(0L, (n - 1) DIV {REPEAT_CHUNK})) AS chunk"
     )
-    repeated = salted_semi_join(keyed, duplicate_keys(rows, spec, source), ["source_file", "key_value"], ["_spread"])
-    return repeated.select(
+    spread = chunks.repartition("source_file", "key_value", "chunk")
+    repeats = spread.withColumn(
+        "_repeat", F.expr(f"explode(sequence(1L, least({REPEAT_CHUNK}L, n - chunk * {REPEAT_CHUNK})))")
+    )
+    return repeats.select(
         "source_file",
+        F.col("key_value").alias("row_key"),
         F.lit(spec.key).alias("column_name"),
         F.lit(UNIQUE).alias("check_name"),
         F.col("key_value").alias("failure_value"),
@@ -125,6 +141,7 @@ def missing_columns(headers: DataFrame, spec: EntitySpec) -> DataFrame:
     lacking = F.array_except(F.expr(f"array({cells.listed(spec.required)})"), F.col("columns"))
     return headers.where(F.col("columns").isNotNull()).select(
         "source_file",
+        F.lit(None).cast("string").alias("row_key"),
         F.explode(lacking).alias("column_name"),
         F.lit(MISSING_COLUMN).alias("check_name"),
         F.lit(None).cast("string").alias("failure_value"),
@@ -132,14 +149,10 @@ def missing_columns(headers: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def violations(
-    rows: DataFrame,
-    spec: EntitySpec,
-    source: str = SOURCE_FILE,
-    headers: DataFrame | None = None,
-    spread: list[str] = ROW_ORDER,
+    rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE, headers: DataFrame | None = None
 ) -> DataFrame:
     """Every failure of every file: values, repeated keys and, where headers are given, missing columns."""
-    found = value_violations(rows, spec, source).unionByName(uniqueness_violations(rows, spec, source, spread))
+    found = value_violations(rows, spec, source).unionByName(uniqueness_violations(rows, spec, source))
     if headers is not None:
         found = found.unionByName(missing_columns(headers, spec))
     return found

@@ -118,14 +118,24 @@ FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {part} ON l_partke
 
 SAMPLE_ORDER = ["_ord"]
 
+SPREAD_TASKS = 32
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than a small machine has cores, dealt out evenly; larger scans stay as they
+    are."""
+    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def raw_sample(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Raw text rows of one feed with `_business_date`, `_source_file` and the row order `_ord`."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES[entity]}
+    frames[TABLES[entity][0]] = spread(frames[TABLES[entity][0]])
     return spark.sql(MAPPINGS[entity], **frames)
 
 
