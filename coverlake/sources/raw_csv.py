@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from datetime import date
 
@@ -43,8 +44,14 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return empty_frame(spark, _EMPTY_TYPE)
 
 
+def bare_path(path: str) -> str:
+    """A path without scheme and host, as listings and scans write those in different forms."""
+    return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
 def _breaks_inside_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Of some long files, those where a line holds an odd number of quotes, so a record may span lines."""
+    """Of some long files, the bare paths of those where a line holds an odd number of quotes, so a record may span
+    lines."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     rows = (
         spark.read.text(paths)
@@ -53,7 +60,7 @@ def _breaks_inside_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
         .select("path")
         .distinct()
     )
-    return {r.path for r in rows.collect()}
+    return {bare_path(r.path) for r in rows.collect()}
 
 
 def _scan(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool) -> DataFrame:
@@ -100,7 +107,7 @@ def read_csv_files(spark: SparkSession, files: DataFrame, split_bytes: int = SPL
     if long_files:
         whole = _breaks_inside_quotes(spark, sorted(long_files))
         for path, header in long_files.items():
-            groups[header, path in whole].append(path)
+            groups[header, bare_path(path) in whole].append(path)
     result = empty_raw(spark)
     for (header, multi_line), paths in groups.items():
         scan = _scan(spark, paths, list(header), multi_line)
