@@ -104,7 +104,7 @@ def ledger_summary(entries: DataFrame, scope: str, current: DataFrame) -> DataFr
 
 
 class FileLedger:
-    """Files seen per directory, partitioned by month so that a bounded lookback reads few partitions."""
+    """Files seen, partitioned by directory and month so that a bounded lookback reads few partitions."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -120,30 +120,32 @@ class FileLedger:
     def is_first_run(self, dir_id: str) -> bool:
         return self.processed().where(F.col("dir_id") == dir_id).isEmpty()
 
-    def record(self, files: DataFrame) -> None:
-        """Append entries; `files` has dir_id, file_name, business_date, uri and outcome."""
+    def record(self, dir_id: str, files: DataFrame) -> None:
+        """Append entries of one directory; `files` has file_name, business_date, uri and outcome.
+
+        Each directory appends to its own folder, so directories that finish together do not share a commit.
+        """
         stamped = files.select(
-            "dir_id", "file_name", "business_date", "uri", "outcome", F.current_timestamp().alias("recorded_at"),
+            "file_name", "business_date", "uri", "outcome", F.current_timestamp().alias("recorded_at"),
             F.date_format("business_date", "yyyy-MM").alias("month"),
         )
-        stamped.write.mode("append").partitionBy("month").parquet(self.path)
+        stamped.write.mode("append").partitionBy("month").parquet(f"{self.path}/dir_id={dir_id}")
 
     def reset(self, dir_id: str, as_of: date) -> None:
         marker = self.spark.range(1).select(
-            F.lit(dir_id).alias("dir_id"),
             F.lit(None).cast("string").alias("file_name"),
             F.lit(as_of).cast("date").alias("business_date"),
             F.lit(None).cast("string").alias("uri"),
             F.lit(RESET).alias("outcome"),
         )
-        self.record(marker)
+        self.record(dir_id, marker)
 
     def summary(self) -> DataFrame:
         return ledger_summary(self.entries(), "dir_id", self.processed())
 
 
 class DateLedger:
-    """Dates done per scope: an entity for silver, a fact table for gold."""
+    """Dates done, partitioned by scope: an entity for silver, a fact table for gold."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -168,11 +170,13 @@ class DateLedger:
         return pending_dates(candidates, self.done(), force)
 
     def record(self, scope: str, dates: list[date], outcome: str = DONE) -> None:
+        """Append dates of one scope, in the scope's own folder."""
         if not dates:
             return
-        schema = struct(scope=T.StringType(), business_date=T.DateType(), outcome=T.StringType())
-        rows = [{"scope": scope, "business_date": d, "outcome": outcome} for d in dates]
-        local_frame(self.spark, rows, schema).withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)
+        schema = struct(business_date=T.DateType(), outcome=T.StringType())
+        rows = local_frame(self.spark, [{"business_date": d, "outcome": outcome} for d in dates], schema)
+        stamped = rows.withColumn("recorded_at", F.current_timestamp()).coalesce(1)
+        stamped.write.mode("append").parquet(f"{self.path}/scope={scope}")
 
     def reset(self, scope: str) -> None:
         self.record(scope, [date(1970, 1, 1)], RESET)

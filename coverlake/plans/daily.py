@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from coverlake.plans.gold import load_gold
 from coverlake.plans.ingest import IngestResult, ingest_directory
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import silver_all
+from coverlake.plans.together import run_together
 from coverlake.sources.local import local_frame, struct
 from coverlake.sources.manifest import DIRECTORIES, manifest_table
 
@@ -44,7 +46,8 @@ def run_day(
     """Run every step for a business date; a second run of the same date changes nothing."""
     lake = Lake(lake_root)
     run_id = audit.new_run_id()
-    ingests = [ingest_directory(spark, lake, d, day, run_id, allowed_missing) for d in directories]
+    jobs = {d["dir_id"]: partial(ingest_directory, spark, lake, d, day, run_id, allowed_missing) for d in directories}
+    ingests = list(run_together(jobs).values())
     silver = silver_all(spark, lake, day, force, as_of)
     gold = load_gold(spark, lake, day, force)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from coverlake.functions import names
 from coverlake.operators import arrival, audit, checksum, gate, ledger
 from coverlake.plans.layout import Lake
+from coverlake.plans.together import run_together
 from coverlake.sinks.landing import bronze_uri, dead_letter_uri, land_bare_header, land_files, with_tags
 from coverlake.sources.landing import file_digests, list_directory, read_headers, read_sidecars
 from coverlake.sources.manifest import manifest_table
@@ -80,11 +82,18 @@ def _gate_entity(
 
     # The verdict is read by two row writes, the ledger and the audit, so it is written once as a table.
     stats_path = lake.quality("file_stats", run_id, dir_id, entity)
-    gate.file_stats(complete_rows, spec, FILE_NAME, headers).write.mode("overwrite").parquet(stats_path)
-    stats = spark.read.parquet(stats_path)
-    gate.violations(complete_rows, spec, FILE_NAME, headers).write.mode("overwrite").parquet(
-        lake.quality("violations", run_id, dir_id, entity)
+    violations_path = lake.quality("violations", run_id, dir_id, entity)
+    run_together(
+        {
+            "stats": lambda: gate.file_stats(complete_rows, spec, FILE_NAME, headers)
+            .write.mode("overwrite")
+            .parquet(stats_path),
+            "violations": lambda: gate.violations(complete_rows, spec, FILE_NAME, headers)
+            .write.mode("overwrite")
+            .parquet(violations_path),
+        }
     )
+    stats = spark.read.parquet(stats_path)
 
     own = entity in [f["entity"] for f in entry["files"]]
     uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), F.col(FILE_NAME))
@@ -117,7 +126,7 @@ def process_files(
 ) -> DataFrame:
     """Gate, land and route a set of new files of one directory; returns their outcomes.
 
-    The loop is over the handful of entities, never over files or dates.
+    Work is split by entity only, never by file or date.
     """
     manifest = manifest_table(spark, [entry])
     data = arrival.infer_entities(new.where(names.is_data_file(F.col("file_name"))), manifest)
@@ -131,9 +140,15 @@ def process_files(
         F.lit(None).cast("bigint").alias("rows_valid"),
         F.lit(None).cast("bigint").alias("rows_dropped"),
     )
-    for entity in [e for e in REGISTRY if e in present]:
-        files = data.where(F.col("entity") == entity)
-        outcomes = outcomes.unionByName(_gate_entity(spark, lake, entry, entity, files, day, run_id))
+    gated = {
+        entity: partial(
+            _gate_entity, spark, lake, entry, entity, data.where(F.col("entity") == entity), day, run_id
+        )
+        for entity in REGISTRY
+        if entity in present
+    }
+    for gate_outcomes in run_together(gated).values():
+        outcomes = outcomes.unionByName(gate_outcomes)
     if None in present:
         strays = data.where(F.col("entity").isNull())
         rows = read_csv_files(spark, strays)
@@ -180,7 +195,7 @@ def ingest_directory(
     outcomes = spark.read.parquet(outcomes_path)
     entries = outcomes.withColumn("business_date", F.lit(day).cast("date"))
     if new_count:
-        book.record(arrival.with_encrypted_names(entries, manifest))
+        book.record(entry["dir_id"], arrival.with_encrypted_names(entries, manifest))
     counts = {r.outcome: r["count"] for r in outcomes.groupBy("outcome").count().collect()}
     return IngestResult(
         entry["dir_id"], first_run, new_count, counts.get(ledger.LANDED, 0), counts.get(ledger.REJECTED, 0), outcomes

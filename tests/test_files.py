@@ -120,9 +120,9 @@ def test_file_ledger(spark, tmp_path):
     entries = lambda name, day: spark.createDataFrame(
         [("inbound", name, day, "u", ledger.LANDED)], "dir_id string, file_name string, business_date date, uri string, outcome string"
     )
-    book.record(entries("old.csv", date(2025, 1, 1)))
-    book.record(entries("new.csv", DAY))
-    book.record(entries("new.csv", DAY))
+    book.record("inbound", entries("old.csv", date(2025, 1, 1)))
+    book.record("inbound", entries("new.csv", DAY))
+    book.record("inbound", entries("new.csv", DAY))
     assert sorted(r.file_name for r in book.processed().collect()) == ["new.csv", "old.csv"]
     assert [r.file_name for r in book.processed(as_of=DAY).collect()] == ["new.csv"]
     scan = book.entries(as_of=DAY)._jdf.queryExecution().executedPlan().toString()
@@ -131,7 +131,7 @@ def test_file_ledger(spark, tmp_path):
     assert [r.file_name for r in fresh.collect()] == ["next.csv"]
     book.reset("inbound", DAY)
     assert book.is_first_run("inbound") and book.summary().first().is_first_run
-    book.record(entries("new.csv", DAY))
+    book.record("inbound", entries("new.csv", DAY))
     assert [tuple(r)[:3] for r in book.summary().collect()] == [("inbound", 1, False)]
 
 
