@@ -13,6 +13,7 @@ from coverlake.functions import names
 from coverlake.operators import arrival, audit, checksum, gate, ledger
 from coverlake.plans.layout import Lake
 from coverlake.plans.together import run_together
+from coverlake.session import scratch_dir
 from coverlake.sinks.landing import bronze_uri, dead_letter_uri, land_bare_header, land_files, with_tags
 from coverlake.sources.landing import file_digests, list_directory, read_headers, read_sidecars
 from coverlake.sources.manifest import manifest_table
@@ -74,7 +75,10 @@ def _gate_entity(
     spec = REGISTRY[entity]
     file_name = names.base_name(F.col(PATH))
     headers = read_headers(files).select(names.base_name(F.col("path")).alias("source_file"), "columns")
-    rows = read_csv_files(spark, files).withColumn(FILE_NAME, file_name)
+    # The text is parsed once. Gate and landing read the staged columns, with row positions fixed for any retry.
+    staging = scratch_dir(spark, f"staging-{dir_id}-{entity}")
+    read_csv_files(spark, files).withColumn(FILE_NAME, file_name).write.parquet(staging)
+    rows = spark.read.parquet(staging)
     complete_rows = rows
     for name in spec.required:
         if name not in complete_rows.columns:
