@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlake.llm import chat, licenses, mixing, quality, urls
+from coverlake.llm import chat, licenses, mixing, near, quality, urls
 from coverlake.llm.text import table
 
 
@@ -46,6 +46,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -55,5 +59,6 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scans": op8_license_scans,
 }
