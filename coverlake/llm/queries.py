@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlake.llm import chat, licenses, mixing, near, quality, urls
+from coverlake.llm import chat, licenses, lm, mixing, near, quality, urls
 from coverlake.llm.text import table
 
 
@@ -54,6 +54,10 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_url_filters": op3_url_filters,
@@ -61,4 +65,5 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scans": op8_license_scans,
+    "op9_lm_scoring": op9_lm_scoring,
 }
