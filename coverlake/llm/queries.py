@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlake.llm import chat, licenses, lm, mixing, near, quality, urls
+from coverlake.llm import chat, licenses, lm, mixing, near, quality, toxicity, urls
 from coverlake.llm.text import table
 
 
@@ -13,6 +13,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -60,6 +64,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
     "op3_url_filters": op3_url_filters,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
