@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlake.llm import chat, licenses, lm, mixing, near, quality, toxicity, urls
+from coverlake.llm import chat, licenses, lines, lm, mixing, near, quality, toxicity, urls
 from coverlake.llm.text import table
 
 
@@ -50,6 +50,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scans": op8_license_scans,
     "op9_lm_scoring": op9_lm_scoring,
