@@ -281,3 +281,13 @@ def near_duplicates(
         .join(by_text, "text_key")
         .select("doc_id", "class_id", "text_id", "n_copies", "n_links")
     )
+
+
+def one_of_each_class(docs: DataFrame, **settings) -> DataFrame:
+    """`docs` with one row of each class: of its smallest id. Repeated rows with that id and text are one document."""
+    classes = near_duplicates(docs, **settings)
+    winners = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).selectExpr("doc_id AS winner").distinct()
+    kept = docs.join(winners, docs.doc_id.eqNullSafe(winners.winner), "left_semi")
+    return kept.withColumn("own_key", F.expr("md5(CAST(coalesce(text, '') AS BINARY))")).dropDuplicates(
+        ["doc_id", "own_key"]
+    ).drop("own_key")

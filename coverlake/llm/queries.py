@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlake.llm import chat, licenses, lines, lm, mixing, near, quality, toxicity, urls
+from coverlake.llm import chat, leaks, licenses, lines, lm, mixing, near, quality, toxicity, urls
 from coverlake.llm.text import table
 
 
@@ -66,6 +66,11 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -76,4 +81,5 @@ QUERIES = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scans": op8_license_scans,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -306,6 +306,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return model
 
 
+def _scores(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns of `docs`, which hold the text, and the score."""
+    model = train(docs, labels)
+    chosen = docs.select(*columns)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                score = pa.array(model.probability(features_of(part.column("text"), model)))
+                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*columns, "score"])
+
+    return chosen.mapInArrow(scored, f"{types}, score double")
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Each text's probability of being toxic: doc_id, held_out, score, predicted.
 
@@ -314,24 +329,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     the score. Insult words and word beginnings of any language are learned from the labels. Null and empty texts get
     the score of a text without matches; every row is scored, repeated ones alike; other columns are ignored.
     """
-    model = train(docs, labels)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return _scores(docs, labels, ["doc_id", "text"]).selectExpr(
+        "doc_id",
+        f"{fold_sql()} = {TEST_FOLD} AS held_out",
+        "score",
+        f"CAST(score >= {threshold} AS INT) AS predicted",
+    )
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(model.probability(features_of(part.column("text"), model)))],
-                    names=["doc_id", "score"],
-                )
 
-    return (
-        docs.select("doc_id", "text")
-        .mapInArrow(scored, f"doc_id {id_type}, score double")
-        .selectExpr(
-            "doc_id",
-            f"{fold_sql()} = {TEST_FOLD} AS held_out",
-            "score",
-            f"CAST(score >= {threshold} AS INT) AS predicted",
-        )
-    )
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """`docs` without the rows whose score reaches the threshold; the text passes through the scoring task."""
+    return _scores(docs, labels, docs.columns).where(f"score < {threshold}").drop("score")
