@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.text import materialise
+from coverlake.llm.text import materialise, unused
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
@@ -163,8 +163,9 @@ def find_leaks(
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
     """`docs` without the documents in which a benchmark item was found."""
-    found = leaks.selectExpr("doc_id AS d", "text_hash AS t").distinct()
-    hashed = docs.withColumn("own_hash", F.expr("xxhash64(coalesce(text, ''))"))
+    found_id, found_hash, own_hash = unused(docs, "found_id", "found_hash", "own_hash")
+    found = leaks.selectExpr(f"doc_id AS {found_id}", f"text_hash AS {found_hash}").distinct()
+    hashed = docs.withColumn(own_hash, F.expr("xxhash64(coalesce(text, ''))"))
     return hashed.join(
-        found, hashed.doc_id.eqNullSafe(found.d) & (hashed.own_hash == found.t), "left_anti"
-    ).drop("own_hash")
+        found, hashed.doc_id.eqNullSafe(found[found_id]) & (hashed[own_hash] == found[found_hash]), "left_anti"
+    ).drop(own_hash)

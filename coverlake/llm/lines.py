@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.text import materialise
+from coverlake.llm.text import materialise, unused
 
 #: Lines shorter than this say too little to be called copies.
 LEAST_CHARS = 20
@@ -180,22 +180,28 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """`docs` without the removed lines and with n_chars set anew; a document that had words and has none left goes."""
-    gone = removed.where("size(removed_lines) > 0").selectExpr("doc_id AS gone_id", "text_hash AS gone_hash", "removed_lines")
-    hashed = docs.withColumn("own_hash", F.expr("xxhash64(coalesce(text, ''))"))
+    """`docs` without the removed lines and with n_chars, if it has one, set anew.
+
+    A document that had words and has none left goes. Places that stay come from a hashed set difference, so long
+    documents cost no more a line than short ones.
+    """
+    gone_id, gone_hash, own_hash, gone, parts = unused(docs, "gone_id", "gone_hash", "own_hash", "gone", "parts")
+    found = removed.where("size(removed_lines) > 0").selectExpr(
+        f"doc_id AS {gone_id}", f"text_hash AS {gone_hash}", f"removed_lines AS {gone}"
+    )
+    hashed = docs.withColumn(own_hash, F.expr("xxhash64(coalesce(text, ''))"))
     joined = hashed.join(
-        gone, hashed.doc_id.eqNullSafe(gone.gone_id) & (hashed.own_hash == gone.gone_hash), "left"
+        found, hashed.doc_id.eqNullSafe(found[gone_id]) & (hashed[own_hash] == found[gone_hash]), "left"
     )
-    # places that stay come from a hashed set difference, so long documents cost no more a line than short ones
-    kept = joined.withColumn("all_lines", F.expr(r"CASE WHEN removed_lines IS NOT NULL THEN split(text, '\n') END")).withColumn(
-        "text",
-        F.expr(
-            "CASE WHEN removed_lines IS NULL THEN text ELSE array_join(transform("
-            r"array_except(sequence(0, size(all_lines) - 1), removed_lines), i -> all_lines[i]), '\n') END"
-        ),
+    split = joined.withColumn(parts, F.expr(rf"CASE WHEN {gone} IS NOT NULL THEN split(text, '\n') END"))
+    left = (
+        f"array_join(transform(array_except(sequence(0, size({parts}) - 1), {gone}), i -> {parts}[i]), '\\n')"
     )
-    return (
-        kept.where(r"removed_lines IS NULL OR text RLIKE '[^\\x20\\x09-\\x0D]'")
-        .withColumn("n_chars", F.expr("CASE WHEN removed_lines IS NULL THEN n_chars ELSE CAST(length(text) AS BIGINT) END"))
-        .select(*docs.columns)
+    kept = split.withColumn("text", F.expr(f"CASE WHEN {gone} IS NULL THEN text ELSE {left} END")).where(
+        rf"{gone} IS NULL OR text RLIKE '[^\\x20\\x09-\\x0D]'"
     )
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn(
+            "n_chars", F.expr(f"CASE WHEN {gone} IS NULL THEN n_chars ELSE CAST(length(text) AS BIGINT) END")
+        )
+    return kept.select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.text import materialise, words_sql
+from coverlake.llm.text import materialise, unused, words_sql
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -113,8 +113,11 @@ def mix(
 def mixed_documents(docs: DataFrame, mixture: DataFrame) -> DataFrame:
     """The mix itself: every document as often as `mix` takes it, numbered by `copy_no` from 1.
 
-    `doc_id` has to name one document here, as it joins the two frames; a null id joins a null id.
+    `doc_id` has to name one document here, as it joins the two frames; a null id joins a null id. A column copy_no of
+    `docs` is replaced.
     """
-    taken = mixture.where("copies > 0").selectExpr("doc_id AS taken_id", "copies")
-    joined = docs.join(taken, docs.doc_id.eqNullSafe(taken.taken_id)).drop("taken_id")
-    return joined.withColumn("copy_no", F.explode(F.expr("sequence(1, CAST(copies AS INT))"))).drop("copies")
+    docs = docs.drop("copy_no")
+    taken_id, copies = unused(docs, "taken_id", "copies")
+    taken = mixture.where("copies > 0").selectExpr(f"doc_id AS {taken_id}", f"copies AS {copies}")
+    joined = docs.join(taken, docs.doc_id.eqNullSafe(taken[taken_id]))
+    return joined.withColumn("copy_no", F.explode(F.expr(f"sequence(1, CAST({copies} AS INT))"))).drop(taken_id, copies)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from coverlake.llm.arrays import mix, shingles_of, slices
 from coverlake.llm.graph import components
-from coverlake.llm.text import materialise
+from coverlake.llm.text import materialise, unused
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -285,9 +285,10 @@ def near_duplicates(
 
 def one_of_each_class(docs: DataFrame, **settings) -> DataFrame:
     """`docs` with one row of each class: of its smallest id. Repeated rows with that id and text are one document."""
+    winner, own_key = unused(docs, "winner", "own_key")
     classes = near_duplicates(docs, **settings)
-    winners = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).selectExpr("doc_id AS winner").distinct()
-    kept = docs.join(winners, docs.doc_id.eqNullSafe(winners.winner), "left_semi")
-    return kept.withColumn("own_key", F.expr("md5(CAST(coalesce(text, '') AS BINARY))")).dropDuplicates(
-        ["doc_id", "own_key"]
-    ).drop("own_key")
+    winners = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).selectExpr(f"doc_id AS {winner}").distinct()
+    kept = docs.join(winners, docs.doc_id.eqNullSafe(winners[winner]), "left_semi")
+    return kept.withColumn(own_key, F.expr("md5(CAST(coalesce(text, '') AS BINARY))")).dropDuplicates(
+        ["doc_id", own_key]
+    ).drop(own_key)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.llm.arrays import slices, words_of
+from coverlake.llm.text import unused
 
 FOLDS = 4
 TEST_FOLD = 2
@@ -306,8 +307,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return model
 
 
-def _scores(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns of `docs`, which hold the text, and the score."""
+def _scores(docs: DataFrame, labels: DataFrame, columns: list[str], name: str = "score") -> DataFrame:
+    """The named columns of `docs`, which hold the text, and the score under a name of its own."""
     model = train(docs, labels)
     chosen = docs.select(*columns)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
@@ -316,9 +317,9 @@ def _scores(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame
         for batch in batches:
             for part in slices(batch, "text"):
                 score = pa.array(model.probability(features_of(part.column("text"), model)))
-                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*columns, name])
 
-    return chosen.mapInArrow(scored, f"{types}, score double")
+    return chosen.mapInArrow(scored, f"{types}, `{name}` double")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -339,4 +340,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` without the rows whose score reaches the threshold; the text passes through the scoring task."""
-    return _scores(docs, labels, docs.columns).where(f"score < {threshold}").drop("score")
+    (name,) = unused(docs, "score")
+    return _scores(docs, labels, docs.columns, name).where(f"{name} < {threshold}").drop(name)

@@ -15,7 +15,7 @@ from coverlake.llm.text import literal, lower_ascii_sql
 
 #: Length of the hashed n-grams and size of the hash space.
 GRAM = 4
-FEATURES = 1 << 14
+FEATURES = 1 << 17
 #: At most so many distinct labelled urls are used for training, the first by hash.
 TRAINING_URLS = 5000
 BLOCK_FROM = 0.5
@@ -33,6 +33,9 @@ WANTED = (
     "forum", "support", "help", "research", "journal", "press", "radio", "films", "books", "poems", "nature", "birds",
     "maps", "trains", "energy", "climate", "law", "court", "tax", "jobs", "house", "bank", "shop", "photo", "design",
     "theatre", "opera", "ocean", "river", "stone", "metal", "wood", "paper", "bread", "cheese", "tea", "coffee",
+    "paint", "plant", "content", "parent", "event", "student", "agent", "month", "north", "truth", "width", "tenth",
+    "earth", "growth", "weight", "light", "bright", "theory", "leather", "river-end", "handout", "worship", "shore",
+    "whale", "stream", "ready", "ribbon", "ocean-side", "the", "thread", "throne", "theme",
     "other", "station", "nation", "there", "thing", "another", "together", "table", "inside", "writer",
 )
 HOST_SHAPES = ("{}.example.com", "www.{}.example.org", "m.{}.example.net", "blog.{}.example.com")
@@ -105,13 +108,13 @@ def _vectors(places: DataFrame) -> DataFrame:
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
-    """The labelled urls as host, path and label, 1 for unwanted: each word alone and joined to its neighbour."""
+    """The labelled urls as host, path and label, 1 for unwanted: each word, or it and its neighbour, in each shape."""
     rows = []
     for label, words in ((1.0, UNWANTED), (0.0, WANTED)):
         for k, word in enumerate(words):
-            for j, name in enumerate((word, f"{word}-{words[(k + 1) % len(words)]}")):
-                shape = HOST_SHAPES[(k + 2 * j) % len(HOST_SHAPES)]
-                path = PATH_SHAPES[(2 * k + 3 * j) % len(PATH_SHAPES)]
+            for j, shape in enumerate(HOST_SHAPES):
+                name = word if (j + k) % 2 else f"{word}-{words[(k + 1) % len(words)]}"
+                path = PATH_SHAPES[(k + 2 * j) % len(PATH_SHAPES)]
                 rows.append(f"('{shape.format(name)}', '{path.format(100 + 37 * k + j)}', {label}D)")
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(host, path, label)")
 
