@@ -12,7 +12,7 @@ LEAST_CHARS = 20
 #: Edits (insert, delete, replace a character) up to which two lines are copies.
 EDITS = 2
 #: Characters counted, modulo 16, for a bound on the distance that needs no text.
-COUNTED = "etanoirs"
+COUNTED = "etanoirshdlbwgu,"
 #: Candidate lines up to this many are looked up by broadcast, at 16 bytes each; more are joined by shuffle.
 BROADCAST_LINES = 1_000_000
 
@@ -43,39 +43,46 @@ def _segment(i: int, length: str, edits: int) -> tuple[str, str]:
     return start, f"((({length}) DIV {parts}) + CASE WHEN {i} >= {longer_from} THEN 1 ELSE 0 END)"
 
 
-def segment_keys(edits: int) -> str:
-    """A line's rows for the join, as an SQL array: (key, probe).
-
-    Every line is indexed under its segments with its length. It probes the indexes of its own and up to `edits`
-    smaller lengths with the substrings at which a segment can lie: of two lines within `edits` edits, one segment
-    of the shorter line stands unchanged in the longer one, shifted by no more than the edits left of it, and by no
-    more than the edits right of it when counted from the end.
-    """
+def index_keys(edits: int) -> str:
+    """A line's segments with its length, hashed, as an SQL array."""
     keys = []
     for i in range(edits + 1):
         start, size = _segment(i, "n", edits)
-        keys.append(f"named_struct('key', xxhash64({i}, n, substr(line, {start}, {size})), 'probe', false)")
+        keys.append(f"xxhash64({i}, n, substr(line, {start}, {size}))")
+    return f"array({', '.join(keys)})"
+
+
+def probe_keys(edits: int) -> str:
+    """What a line looks up, as an SQL array of (key, shorter): substrings where a segment of another line can lie.
+
+    Of two lines within `edits` edits, one segment of the shorter line stands unchanged in the longer one, shifted by no
+    more than the edits left of it, and by no more than the edits right of it when counted from the end. A line probes
+    the indexes of its own length and of up to `edits` smaller ones.
+    """
+    keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
             start, size = _segment(i, f"n - {less}", edits)
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                keys.append(
-                    f"named_struct('key', xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size})), 'probe', true)"
-                )
+                key = f"xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size}))"
+                keys.append(f"named_struct('key', {key}, 'shorter', {'true' if less else 'false'})")
     return f"array({', '.join(keys)})"
 
 
 def sketch_sql() -> str:
-    """Counts of eight letters, four bits each; one edit moves at most two of them by one."""
-    return " + ".join(
+    """Counts of sixteen characters, four bits each."""
+    return " | ".join(
         f"shiftleft(CAST((octet_length(line) - octet_length(replace(line, '{c}', ''))) % 16 AS BIGINT), {4 * k})"
         for k, c in enumerate(COUNTED)
     )
 
 
-def sketch_gap_sql(a: str, b: str) -> str:
-    gaps = (f"((shiftright({a}, {4 * k}) - shiftright({b}, {4 * k})) & 15)" for k in range(len(COUNTED)))
-    return " + ".join(f"least({g}, 16 - {g})" for g in gaps)
+def sketches_within_sql(a: str, b: str, edits: int) -> str:
+    """Whether the counts leave room for the lines to be within `edits` edits: each raises and lowers at most one."""
+    gaps = [f"(((shiftright({a}, {4 * k}) & 15) - (shiftright({b}, {4 * k}) & 15)) & 15)" for k in range(len(COUNTED))]
+    up = " + ".join(f"CASE WHEN {g} < 8 THEN {g} ELSE 0 END" for g in gaps)
+    down = " + ".join(f"CASE WHEN {g} > 8 THEN 16 - {g} ELSE 0 END" for g in gaps)
+    return f"({up}) <= {edits} AND ({down}) <= {edits}"
 
 
 def within_edits_sql(a: str, b: str, edits: int) -> str:
@@ -105,37 +112,42 @@ def within_edits_sql(a: str, b: str, edits: int) -> str:
     )
 
 
-def line_links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def first_lines(rows: DataFrame) -> DataFrame:
+    """Where each different line stands first: h1, h2, first (doc_id, line_no, text_hash)."""
+    long_enough = rows.where("h1 IS NOT NULL")
+    return long_enough.groupBy("h1", "h2").agg(F.expr("min(struct(doc_id, line_no, text_hash)) AS first"))
+
+
+def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs of different lines within `edits` edits of each other, by their hashes: a1, a2, b1, b2.
 
-    Distinct lines are exploded into segment and substring keys in one shuffle and joined on them. Within the join,
-    letter counts drop pairs that are surely further apart, so the rows it makes follow the links rather than the
-    square of the lines that share a segment. What is left is verified on whole lines. All links are found.
+    Each different line is taken from where it stands first, exploded into segment keys and substring keys, and joined
+    on them. Within the join, character counts drop pairs that are surely further apart, so the rows it makes follow
+    the links rather than the square of the lines that share a segment. What is left is verified on whole lines. Only
+    one hash travels with the keys; lines that share it by chance are told apart there. All links are found.
     """
     rows = line_rows(docs).where("h1 IS NOT NULL")
-    distinct = rows.groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    keyed = (
-        distinct.selectExpr("h1", "h2", "line", "length(line) AS n", f"{sketch_sql()} AS sketch")
-        .selectExpr("h1", "h2", "n", "sketch", f"explode({segment_keys(edits)}) AS k")
-        .selectExpr("k.key AS key", "k.probe AS probe", "h1", "h2", "n", "sketch")
-        .repartition("key")
-    )
-    index = keyed.where("NOT probe").selectExpr("key", "h1 AS a1", "h2 AS a2", "n AS an", "sketch AS a_sketch")
-    probes = keyed.where("probe").selectExpr("key", "h1 AS b1", "h2 AS b2", "n AS bn", "sketch AS b_sketch")
-    close = f"{sketch_gap_sql('a_sketch', 'b_sketch')} <= {2 * edits}"
-    once = f"(bn > an AND bn <= an + {edits}) OR (bn = an AND (b1, b2) > (a1, a2))"
-    pairs = index.join(probes, (index.key == probes.key) & F.expr(f"({once}) AND ({close})"))
-    pairs = materialise(pairs.select("a1", "a2", "b1", "b2").distinct(), "line-pairs")
-    ends = pairs.selectExpr("a1 AS h1", "a2 AS h2").union(pairs.selectExpr("b1 AS h1", "b2 AS h2")).distinct()
-    ends = materialise(ends, "line-ends")
+    places = firsts.selectExpr("first.doc_id AS d", "first.line_no AS l", "first.text_hash AS t").hint("shuffle_hash")
+    distinct = rows.join(
+        places, rows.doc_id.eqNullSafe(places.d) & (rows.line_no == places.l) & (rows.text_hash == places.t), "left_semi"
+    ).selectExpr("h1", "line", "length(line) AS n", f"{sketch_sql()} AS sketch")
+    index = distinct.selectExpr("h1 AS a1", "sketch AS a_sketch", f"explode({index_keys(edits)}) AS key")
+    probes = distinct.selectExpr("h1 AS b1", "sketch AS b_sketch", f"inline({probe_keys(edits)})").withColumnRenamed(
+        "key", "probe_key"
+    )
+    close = sketches_within_sql("a_sketch", "b_sketch", edits)
+    pairs = index.join(probes, (index.key == probes.probe_key) & F.expr(f"(shorter OR b1 > a1) AND {close}"))
+    pairs = materialise(pairs.select("a1", "b1").distinct(), "line-pairs")
+    ends = materialise(pairs.selectExpr("a1 AS h1").union(pairs.selectExpr("b1 AS h1")).distinct(), "line-ends")
     if ends.count() <= BROADCAST_LINES:
         ends = F.broadcast(ends)
-    texts = rows.join(ends, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    texts = materialise(texts, "line-texts").selectExpr("h1", "h2", "regexp_extract_all(line, '(?s).', 0) AS chars")
+    texts = materialise(
+        rows.join(ends, "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "line-texts"
+    ).selectExpr("h1", "h2", "regexp_extract_all(line, '(?s).', 0) AS chars")
     left = texts.selectExpr("h1 AS a1", "h2 AS a2", "chars AS a")
     right = texts.selectExpr("h1 AS b1", "h2 AS b2", "chars AS b")
     return (
-        pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"])
+        pairs.join(left, "a1").join(right, "b1")
         .where(within_edits_sql("a", "b", edits))
         .select("a1", "a2", "b1", "b2")
     )
@@ -151,11 +163,8 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     document. Null and empty texts are one short line; columns other than doc_id and text are ignored.
     """
     rows = materialise(line_rows(docs).drop("line"), "lines")
-    firsts = materialise(
-        rows.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.expr("min(struct(doc_id, line_no)) AS first")), "line-firsts"
-    )
-    links = line_links(docs, edits)
-    both = materialise(links, "line-links").selectExpr(
+    firsts = materialise(first_lines(rows), "line-firsts")
+    both = materialise(line_links(docs, firsts, edits), "line-links").selectExpr(
         "inline(array(struct(a1, a2, b1, b2), struct(b1 AS a1, b2 AS a2, a1 AS b1, a2 AS b2)))"
     )
     partners = both.join(firsts.selectExpr("h1 AS b1", "h2 AS b2", "first"), ["b1", "b2"]).groupBy("a1", "a2").agg(
@@ -167,7 +176,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     judged = rows.join(known, (rows.h1 == F.col("k1")) & (rows.h2 == F.col("k2")), "left").selectExpr(
         "doc_id", "text_hash", "line_no",
         "near_first IS NOT NULL AS near",
-        "near_first IS NULL AND first < struct(doc_id, line_no) AS exact",
+        "near_first IS NULL AND first < struct(doc_id, line_no, text_hash) AS exact",
         "coalesce(near_first, first).doc_id AS first_doc",
     )
     return judged.groupBy("doc_id", "text_hash").agg(
