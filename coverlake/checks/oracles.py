@@ -116,7 +116,7 @@ SELECT {select}, {DAY} AS load_date FROM ranked WHERE first_rank = 1"""
 
 
 def total(c: str) -> str:
-    return f"coalesce(CAST(sum(CAST({c} AS DECIMAL(24, 6))) AS DOUBLE), 0)"
+    return f"coalesce(CAST(sum(CAST({c} AS DECIMAL(38, 8))) AS DOUBLE), 0)"
 
 
 GOLD = {

@@ -25,13 +25,10 @@ STRIP_CHARS = (
 TRUE_WORDS = ["true", "1", "yes"]
 FALSE_WORDS = ["false", "0", "no"]
 
-# First and last whole day a nanosecond timestamp can hold; other dates read as null.
-FIRST_DATE = "1677-09-22"
-LAST_DATE = "2262-04-11"
-
 NUMBER_PATTERN = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 WHOLE_PATTERN = "^[+-]?[0-9]+$"
 DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+DATE_TIME_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?$"
 
 
 def quoted(value: str) -> str:
@@ -68,10 +65,10 @@ def upper_strip(cell: str) -> str:
 
 
 def to_date(cell: str) -> str:
-    """ISO dates only; anything else, including impossible days, is null. ISO text sorts as its dates do."""
+    """ISO dates, or ISO date-times of which the day counts; anything else, including impossible days, is null."""
     return (
-        f"CASE WHEN {cell} RLIKE '{DATE_PATTERN}' AND {cell} BETWEEN '{FIRST_DATE}' AND '{LAST_DATE}' "
-        f"THEN try_cast({cell} AS DATE) END"
+        f"CASE WHEN {cell} RLIKE '{DATE_PATTERN}' THEN try_cast({cell} AS DATE) "
+        f"WHEN {cell} RLIKE '{DATE_TIME_PATTERN}' THEN CAST(try_cast({cell} AS TIMESTAMP_NTZ) AS DATE) END"
     )
 
 
@@ -136,14 +133,10 @@ def is_value(value: str, wanted: str) -> str:
 def exact_sum(value: str) -> str:
     """Order-independent sum of a money column, 0 for an all-null group.
 
-    Adding doubles gives another last digit for every task order, so values below 1e18 are summed as decimals with six
-    places. Larger ones are added as doubles: none is lost.
+    Adding doubles gives another last digit for every task order, so amounts are added as decimals with eight places.
+    Amounts of 1e30 and more do not fit and stop the job rather than fall out of the sum.
     """
-    fitted = f"try_cast({value} AS DECIMAL(24, 6))"
-    return (
-        f"coalesce(CAST(sum({fitted}) AS DOUBLE), 0D) "
-        f"+ coalesce(sum(CASE WHEN {fitted} IS NULL THEN {value} END), 0D)"
-    )
+    return f"coalesce(CAST(sum(CAST({value} AS DECIMAL(38, 8))) AS DOUBLE), 0D)"
 
 
 def exact_mean(ratio: str, digits: int) -> str:

@@ -20,10 +20,16 @@ TABLES = {
     "reinsurance": ["lineitem", "supplier", "part"],
 }
 
+def padded(number: str, width: int) -> str:
+    """A number as text with zeros before it up to a width; longer numbers keep all their digits."""
+    text = f"CAST({number} AS STRING)"
+    return f"concat(repeat('0', {width} - length({text})), {text})"
+
+
 MAPPINGS = {
-    "policies": """
-SELECT CASE WHEN o_orderkey % 10 = 3 THEN concat(' pol-', lpad(CAST(o_orderkey AS STRING), 8, '0'), ' ')
-            ELSE concat('POL-', lpad(CAST(o_orderkey AS STRING), 8, '0')) END AS policy_id,
+    "policies": f"""
+SELECT CASE WHEN o_orderkey % 10 = 3 THEN concat(' pol-', {padded('o_orderkey', 8)}, ' ')
+            ELSE concat('POL-', {padded('o_orderkey', 8)}) END AS policy_id,
        c_name AS insured_name,
        CASE WHEN o_orderkey % 97 = 0 THEN '31/12/1999' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END
          AS policy_start_date,
@@ -34,17 +40,17 @@ SELECT CASE WHEN o_orderkey % 10 = 3 THEN concat(' pol-', lpad(CAST(o_orderkey A
             WHEN 'HOUSEHOLD' THEN 'HEALTH' ELSE 'LIABILITY' END AS coverage_type,
        CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE CAST(CAST((o_orderkey % 121) / 100.0 AS DECIMAL(5,2)) AS STRING) END
          AS risk_score,
-       CASE WHEN o_orderkey % 5 = 0 THEN 'NULL' ELSE concat('BRK-', lpad(CAST(o_custkey % 50 AS STRING), 3, '0')) END
+       CASE WHEN o_orderkey % 5 = 0 THEN 'NULL' ELSE concat('BRK-', {padded('o_custkey % 50', 3)}) END
          AS broker_id,
        CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'EXPIRED' ELSE 'PENDING' END AS status,
        DATE '2026-05-14' AS _business_date,
-       concat('policies_', lpad(CAST(CAST(floor(o_orderkey / 3) AS BIGINT) AS STRING), 10, '0'), '.csv') AS _source_file,
-       lpad(CAST(o_orderkey AS STRING), 12, '0') AS _ord
-FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+       concat('policies_', {padded('CAST(floor(o_orderkey / 3) AS BIGINT)', 10)}, '.csv') AS _source_file,
+       {padded('o_orderkey', 12)} AS _ord
+FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 """,
-    "claims": """
-SELECT concat('CLM-', lpad(CAST(event_id AS STRING), 8, '0')) AS claim_id,
-       concat('POL-', lpad(CAST(user_id AS STRING), 8, '0')) AS policy_id,
+    "claims": f"""
+SELECT concat('CLM-', {padded('event_id', 8)}) AS claim_id,
+       concat('POL-', {padded('user_id', 8)}) AS policy_id,
        concat('User ', CAST(user_id AS STRING)) AS claimant_name,
        CASE WHEN event_id % 4 = 1 THEN 'None' ELSE concat('ADJ-', CAST(event_id % 20 AS STRING)) END AS adjuster_id,
        CAST(CAST(ts AS DATE) AS STRING) AS incident_date,
@@ -60,13 +66,13 @@ SELECT concat('CLM-', lpad(CAST(event_id AS STRING), 8, '0')) AS claim_id,
        CASE event_id % 6 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '1' WHEN 3 THEN '0' WHEN 4 THEN 'yes'
             ELSE '' END AS fraud_flag,
        CAST(ts AS DATE) AS _business_date,
-       concat('claims_', lpad(CAST(CAST(floor(event_id / 3) AS BIGINT) AS STRING), 10, '0'), '.csv') AS _source_file,
-       lpad(CAST(event_id AS STRING), 12, '0') AS _ord
-FROM {events}
+       concat('claims_', {padded('CAST(floor(event_id / 3) AS BIGINT)', 10)}, '.csv') AS _source_file,
+       {padded('event_id', 12)} AS _ord
+FROM {{events}}
 """,
-    "premiums": """
-SELECT concat('PRM-', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), 8, '0')) AS premium_id,
-       concat('POL-', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS policy_id,
+    "premiums": f"""
+SELECT concat('PRM-', {padded('l_orderkey * 10 + l_linenumber', 8)}) AS premium_id,
+       concat('POL-', {padded('l_orderkey', 8)}) AS policy_id,
        CASE WHEN l_linestatus = 'O' THEN '' ELSE CAST(CAST(l_shipdate AS DATE) + 10 AS STRING) END AS payment_date,
        CAST(CAST(l_shipdate AS DATE) AS STRING) AS due_date,
        CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS STRING) AS amount_due,
@@ -80,19 +86,19 @@ SELECT concat('PRM-', lpad(CAST(l_orderkey * 10 + l_linenumber AS STRING), 8, '0
        CAST(l_linenumber AS STRING) AS instalment_number, '12' AS instalment_total,
        CASE WHEN l_linestatus = 'F' THEN 'PAID' WHEN l_returnflag = 'R' THEN 'OVERDUE' ELSE 'pending' END AS status,
        DATE '2026-05-14' AS _business_date,
-       concat('premiums_', lpad(CAST(CAST(floor(l_orderkey / 2) AS BIGINT) AS STRING), 10, '0'), '.csv')
+       concat('premiums_', {padded('CAST(floor(l_orderkey / 2) AS BIGINT)', 10)}, '.csv')
          AS _source_file,
-       concat_ws('|', CAST(CAST(l_shipdate AS DATE) AS STRING), lpad(CAST(l_partkey AS STRING), 10, '0'),
-                 lpad(CAST(l_suppkey AS STRING), 10, '0'),
+       concat_ws('|', CAST(CAST(l_shipdate AS DATE) AS STRING), {padded('l_partkey', 10)},
+                 {padded('l_suppkey', 10)},
                  CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS STRING), CAST(CAST(l_tax AS DECIMAL(4,2)) AS STRING),
                  l_returnflag, l_linestatus) AS _ord
-FROM {lineitem}
+FROM {{lineitem}}
 """,
-    "reinsurance": """
-SELECT concat('RI-', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS ri_record_id,
-       concat('pol-', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS policy_id,
-       CASE WHEN l_partkey % 2 = 0 THEN '' ELSE concat('CLM-', lpad(CAST(l_partkey AS STRING), 8, '0')) END AS claim_id,
-       concat('RNS-', lpad(CAST(l_suppkey AS STRING), 6, '0')) AS reinsurer_id, s_name AS reinsurer_name,
+    "reinsurance": f"""
+SELECT concat('RI-', {padded('l_orderkey * 10 + l_linenumber', 8)}) AS ri_record_id,
+       concat('pol-', {padded('l_orderkey', 8)}) AS policy_id,
+       CASE WHEN l_partkey % 2 = 0 THEN '' ELSE concat('CLM-', {padded('l_partkey', 8)}) END AS claim_id,
+       concat('RNS-', {padded('l_suppkey', 6)}) AS reinsurer_id, s_name AS reinsurer_name,
        concat('TRT-', CAST(l_suppkey % 9 AS STRING)) AS treaty_id,
        CASE p_type WHEN 'STANDARD' THEN 'quota_share' WHEN 'ECONOMY' THEN 'SURPLUS' WHEN 'MEDIUM' THEN 'EXCESS_OF_LOSS'
             WHEN 'PROMO' THEN 'STOP_LOSS' ELSE 'FACULTATIVE' END AS treaty_type,
@@ -107,35 +113,25 @@ SELECT concat('RI-', lpad(CAST(l_orderkey AS STRING), 8, '0')) AS ri_record_id,
        CASE WHEN l_returnflag = 'A' THEN 'eur' ELSE 'USD' END AS currency,
        CASE WHEN l_linestatus = 'F' THEN 'SETTLED' ELSE 'ACTIVE' END AS status,
        DATE '2026-05-14' AS _business_date,
-       concat('reinsurance_', lpad(CAST(CAST(floor(l_orderkey / 2) AS BIGINT) AS STRING), 10, '0'), '.csv')
+       concat('reinsurance_', {padded('CAST(floor(l_orderkey / 2) AS BIGINT)', 10)}, '.csv')
          AS _source_file,
-       concat_ws('|', CAST(CAST(l_shipdate AS DATE) AS STRING), lpad(CAST(l_partkey AS STRING), 10, '0'),
-                 lpad(CAST(l_suppkey AS STRING), 10, '0'), CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS STRING),
+       concat_ws('|', CAST(CAST(l_shipdate AS DATE) AS STRING), {padded('l_partkey', 10)},
+                 {padded('l_suppkey', 10)}, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS STRING),
                  l_returnflag, l_linestatus, CAST(CAST(l_quantity AS INT) AS STRING)) AS _ord
-FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {part} ON l_partkey = p_partkey WHERE l_linenumber = 1
+FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey JOIN {{part}} ON l_partkey = p_partkey
 """,
 }
 
 SAMPLE_ORDER = ["_ord"]
 
-SPREAD_TASKS = 32
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than a small machine has cores, dealt out evenly; larger scans stay as they
-    are."""
-    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
-
-
 def raw_sample(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Raw text rows of one feed with `_business_date`, `_source_file` and the row order `_ord`."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES[entity]}
-    frames[TABLES[entity][0]] = spread(frames[TABLES[entity][0]])
     return spark.sql(MAPPINGS[entity], **frames)
 
 

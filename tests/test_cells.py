@@ -23,7 +23,8 @@ def evaluate(spark, expression, values):
         (cells.to_int, {"3": 3, " 4 ": 4, "3.0": 3, "1e1": 10, "2.5": None, "x": None, "99999999999": None, None: None}),
         (cells.to_date, {
             "2024-02-29": date(2024, 2, 29), "2024-02-30": None, "15/06/2023": None, "2024-1-5": None,
-            "2024-01-05 10:00": None, "9999-12-31": None, "1677-09-22": date(1677, 9, 22), "": None, None: None,
+            "2024-01-05 10:00": date(2024, 1, 5), "2024-01-05T10:00:01.5": date(2024, 1, 5), "2024-01-05 25:00": None,
+            "9999-12-31": date(9999, 12, 31), "1677-09-22": date(1677, 9, 22), "": None, None: None,
         }),
         (cells.to_bool, {
             "True": True, "1": True, "YES": True, "false": False, "0": False, "No": False, "y": None, " true": None,
