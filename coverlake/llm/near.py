@@ -16,7 +16,7 @@ from coverlake.llm.text import materialise, unused
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: Share of pairs at the threshold that have to become candidates.
-TARGET_RECALL = 0.9995
+TARGET_RECALL = 0.99999
 ROWS = 4
 #: A bucket is verified in blocks of about so many texts and shingles; every pair of blocks is one group of work.
 BLOCK_TEXTS = 256
