@@ -275,15 +275,21 @@ def truncated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_bronze(rows: DataFrame, lake: Lake, directory: str, entity: str) -> None:
-    """Raw rows as CSV in the bronze layout; the sample's order stands in for the file order."""
+    """Raw rows as CSV in the bronze layout. Files are numbered in the order of the ranges they hold, so that file and
+    row order together are the sample's order."""
     parts = names.date_partition_columns(F.col("_business_date"))
+    order = [*parts, "_ord"]
     (
-        rows.withColumns({"_source_file": F.col("_ord"), "_block_start": F.lit(0), "_row_id": F.lit(0), **parts})
-        .drop("_ord", "_business_date")
-        .hint("rebalance", *parts)
+        rows.withColumns(parts)
+        .drop("_business_date", "_source_file")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("_ord")
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy(*parts)
         .csv(f"{lake.bronze}/{directory}/{entity}")
     )

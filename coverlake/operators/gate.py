@@ -148,6 +148,31 @@ def missing_columns(headers: DataFrame, spec: EntitySpec) -> DataFrame:
     )
 
 
+def fault_violations(faults: DataFrame) -> DataFrame:
+    """One row per file that could not be read; `faults` has source_file and fault (`check: detail`)."""
+    return faults.select(
+        "source_file",
+        F.lit(None).cast("string").alias("row_key"),
+        F.lit(None).cast("string").alias("column_name"),
+        F.substring_index("fault", ":", 1).alias("check_name"),
+        F.ltrim(F.regexp_replace("fault", "^[^:]*:", "")).alias("failure_value"),
+    )
+
+
+def fault_stats(faults: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The rejecting verdict on files that could not be read, in the form of `file_stats`."""
+    none = F.lit(0).cast("bigint")
+    return faults.select(
+        "source_file",
+        F.lit(spec.name).alias("file_type"),
+        none.alias("rows_raw"),
+        none.alias("rows_valid"),
+        none.alias("rows_dropped"),
+        F.lit(None).cast("array<string>").alias("columns"),
+        F.lit(False).alias("accepted"),
+    )
+
+
 def violations(
     rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE, headers: DataFrame | None = None
 ) -> DataFrame:

@@ -39,6 +39,7 @@ RESET = "reset"
 LANDED = "landed"
 REJECTED = "rejected"
 SIDECAR = "sidecar"
+IGNORED = "ignored"
 DONE = "done"
 
 LOOKBACK_MONTHS = 3
@@ -50,6 +51,12 @@ def lookback(entries: DataFrame, as_of: date, months: int = LOOKBACK_MONTHS) ->
     return entries.where(F.col("month") >= first)
 
 
+def within_lookback(listing: DataFrame, as_of: date, months: int = LOOKBACK_MONTHS) -> DataFrame:
+    """Files of a listing that changed in the months that `lookback` reads."""
+    first = F.trunc(F.add_months(F.lit(as_of).cast("date"), -months), "month")
+    return listing.where(F.col("modified_at") >= first.cast("timestamp"))
+
+
 def after_reset(entries: DataFrame, scope: str) -> DataFrame:
     """Entries recorded after the last reset marker of their scope. There is one reset time per scope, found by a
     pre-aggregated maximum."""

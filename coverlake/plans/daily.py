@@ -42,13 +42,22 @@ def run_day(
     allowed_missing: int = 0,
     force: bool = False,
     as_of: date | None = None,
+    lookback_from: date | None = None,
 ) -> DayResult:
-    """Run every step for a business date; a second run of the same date changes nothing."""
+    """Run every step for a business date; a second run of the same date changes nothing.
+
+    `lookback_from`, usually the day the run takes place, bounds the ledger months and files that are read.
+    """
     lake = Lake(lake_root)
     run_id = audit.new_run_id()
-    jobs = {d["dir_id"]: partial(ingest_directory, spark, lake, d, day, run_id, allowed_missing) for d in directories}
+    jobs = {
+        d["dir_id"]: partial(ingest_directory, spark, lake, d, day, run_id, allowed_missing, lookback_from)
+        for d in directories
+    }
     ingests = list(run_together(jobs).values())
     silver = silver_all(spark, lake, day, force, as_of)
+    if failed := {e: s for e, s in silver.items() if s.startswith("error: ")}:
+        raise RuntimeError(f"No gold load, as silver was not written for {failed}")
     gold = load_gold(spark, lake, day, force)
 
     outcomes = ingests[0].outcomes

@@ -14,10 +14,17 @@ from coverlake.operators import arrival, audit, checksum, gate, ledger
 from coverlake.plans.layout import Lake
 from coverlake.plans.together import run_together
 from coverlake.session import scratch_dir
-from coverlake.sinks.landing import bronze_uri, dead_letter_uri, land_bare_header, land_files, with_tags
-from coverlake.sources.landing import file_digests, list_directory, read_headers, read_sidecars
+from coverlake.sinks.landing import bronze_uri, dead_letter_uri, file_tags
+from coverlake.sources.landing import (
+    NOT_UTF8,
+    copy_files,
+    file_digests,
+    list_directory,
+    read_headers,
+    read_sidecars,
+)
 from coverlake.sources.manifest import manifest_table
-from coverlake.sources.raw_csv import PATH, SOURCE_FILE, read_csv_files
+from coverlake.sources.raw_csv import PATH, RESERVED, read_csv_files, text_traits
 from coverlake.specs import REGISTRY
 
 # Within a directory a file is known by its name, whatever form its path takes in different scans.
@@ -55,7 +62,7 @@ def check_arrival(
 
 
 def check_digests(spark: SparkSession, lake: Lake, entry: dict, new: DataFrame) -> None:
-    """Digests of the new sidecars' data files; nothing to do where a directory has no sidecars."""
+    """Digests of the new sidecars' data files, no others; nothing to do where a directory has no sidecars."""
     if not entry["use_checksum"]:
         return
     folder = folder_of(lake, entry)
@@ -63,58 +70,78 @@ def check_digests(spark: SparkSession, lake: Lake, entry: dict, new: DataFrame)
         names.strip_suffix(F.col("file_name"), names.SIDECAR_SUFFIX).alias("file_name")
     )
     sidecars = read_sidecars(spark, folder).join(fresh, "file_name", "left_semi")
-    digests = file_digests(spark, folder, f"*{names.DATA_SUFFIX}")
+    digests = file_digests(fresh.select(F.concat(F.lit(f"{folder}/"), "file_name").alias("path")))
     checksum.require_checksums(checksum.checksum_report(sidecars, digests))
 
 
+def _outcomes(files: DataFrame, outcome: str) -> DataFrame:
+    """Outcomes of files without rows to count; `files` has dir_id, file_name and uri."""
+    none = F.lit(None)
+    return files.select(
+        "dir_id",
+        "file_name",
+        "uri",
+        F.lit(outcome).alias("outcome"),
+        none.cast("string").alias("file_type"),
+        none.cast("bigint").alias("rows_valid"),
+        none.cast("bigint").alias("rows_dropped"),
+        none.cast("map<string, string>").alias("tags"),
+    )
+
+
 def _gate_entity(
     spark: SparkSession, lake: Lake, entry: dict, entity: str, files: DataFrame, day: date, run_id: str
 ) -> DataFrame:
-    """Gate and land the new files of one entity; returns (dir_id, file_name, uri, outcome, statistics)."""
+    """Gate the new files of one entity and copy them where they belong; returns their outcomes.
+
+    A file that cannot be read is a rejected file like others: its fault is a violation and its bytes go to the dead
+    letter.
+    """
     dir_id = entry["dir_id"]
     spec = REGISTRY[entity]
-    file_name = names.base_name(F.col(PATH))
-    headers = read_headers(files).select(names.base_name(F.col("path")).alias("source_file"), "columns")
-    # The text is parsed once. Gate and landing read the staged columns, with row positions fixed for any retry.
+    source = names.base_name(F.col("path")).alias("source_file")
+    headers_path = lake.quality("headers", run_id, dir_id, entity)
+    read_headers(files, RESERVED).withColumn("source_file", source).write.mode("overwrite").parquet(headers_path)
+    headers = spark.read.parquet(headers_path)
+    readable = [r.path for r in headers.where("columns IS NOT NULL").select("path").orderBy("path").collect()]
+    faults = headers.where("fault IS NOT NULL").select("source_file", "fault")
+    if readable:
+        broken = text_traits(spark, readable).where("NOT is_utf8")
+        faults = faults.unionByName(broken.select(source, F.lit(f"{NOT_UTF8}: rows").alias("fault")))
+    faults_path = lake.quality("faults", run_id, dir_id, entity)
+    faults.write.mode("overwrite").parquet(faults_path)
+    faults = spark.read.parquet(faults_path)
+    sound = headers.join(faults, "source_file", "left_anti")
+
+    # The text is parsed once. Verdict and violations read the staged columns.
     staging = scratch_dir(spark, f"staging-{dir_id}-{entity}")
-    read_csv_files(spark, files).withColumn(FILE_NAME, file_name).write.parquet(staging)
+    read_csv_files(spark, sound).withColumn(FILE_NAME, names.base_name(F.col(PATH))).write.parquet(staging)
     rows = spark.read.parquet(staging)
-    complete_rows = rows
     for name in spec.required:
-        if name not in complete_rows.columns:
-            complete_rows = complete_rows.withColumn(name, F.lit(None).cast("string"))
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
 
-    # The verdict is read by two row writes, the ledger and the audit, so it is written once as a table.
+    # The verdict is read by the copies, the ledger and the audit, so it is written once as a table. Failures are only
+    # listed for files it rejects: on a clean day the rows are tested once.
     stats_path = lake.quality("file_stats", run_id, dir_id, entity)
-    violations_path = lake.quality("violations", run_id, dir_id, entity)
-    run_together(
-        {
-            "stats": lambda: gate.file_stats(complete_rows, spec, FILE_NAME, headers)
-            .write.mode("overwrite")
-            .parquet(stats_path),
-            "violations": lambda: gate.violations(complete_rows, spec, FILE_NAME, headers)
-            .write.mode("overwrite")
-            .parquet(violations_path),
-        }
-    )
+    stats = gate.file_stats(rows, spec, FILE_NAME, sound.select("source_file", "columns"))
+    stats.unionByName(gate.fault_stats(faults, spec)).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
+    rejected = stats.where("NOT accepted").select("source_file")
+    violations_path = lake.quality("violations", run_id, dir_id, entity)
+    found = gate.fault_violations(faults)
+    if not rejected.isEmpty():
+        bad_rows = rows.join(rejected.withColumnRenamed("source_file", FILE_NAME), FILE_NAME, "left_semi")
+        bad_headers = sound.join(rejected, "source_file", "left_semi").select("source_file", "columns")
+        found = found.unionByName(gate.violations(bad_rows, spec, FILE_NAME, bad_headers))
+    found.write.mode("overwrite").parquet(violations_path)
 
     own = entity in [f["entity"] for f in entry["files"]]
-    uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), F.col(FILE_NAME))
-    accepted, rejected = gate.split_by_verdict(rows, stats, FILE_NAME)
-    bronze_path = f"{lake.root}/{entry['gcs_prefix']}/{entity}"
-    if own:
-        tagged = with_tags(accepted, dir_id, entity, day).withColumn(SOURCE_FILE, uri)
-        land_files(tagged, bronze_path, day, F.col(FILE_NAME))
-        for bare in stats.where(F.col("accepted") & (F.col("rows_raw") == 0)).collect():
-            land_bare_header(tagged, bronze_path, day, bare.source_file)
-    land_files(rejected, lake.dead_letter(dir_id, entity), day, F.col(FILE_NAME))
-
     name = F.col("source_file")
     landed_uri = bronze_uri(lake.root, F.lit(entry["gcs_prefix"]), F.lit(entity), F.lit(day).cast("date"), name)
     dead_uri = dead_letter_uri(lake.root, F.lit(dir_id), F.lit(entity), F.lit(day).cast("date"), name)
     outcome = F.when(~F.col("accepted"), ledger.REJECTED).when(F.lit(own), ledger.LANDED).otherwise(SKIPPED)
-    return stats.select(
+    outcomes = stats.select(
         F.lit(dir_id).alias("dir_id"),
         name.alias("file_name"),
         F.when(~F.col("accepted"), dead_uri).when(F.lit(own), landed_uri).alias("uri"),
@@ -122,28 +149,27 @@ def _gate_entity(
         "file_type",
         "rows_valid",
         "rows_dropped",
+        F.when(F.col("accepted") & F.lit(own), file_tags(dir_id, entity, day)).alias("tags"),
     )
+    targets = outcomes.where("uri IS NOT NULL").select(F.col("file_name").alias("source_file"), F.col("uri").alias("target"))
+    copy_files(headers.join(targets, "source_file"))
+    return outcomes
 
 
 def process_files(
     spark: SparkSession, lake: Lake, entry: dict, new: DataFrame, day: date, run_id: str
 ) -> DataFrame:
-    """Gate, land and route a set of new files of one directory; returns their outcomes.
+    """Gate, land and route a set of new files of one directory; every one of them gets an outcome.
 
-    Work is split by entity only, never by file or date.
+    Work is split by entity only, never by file or date. Files that are neither data nor sidecars are ignored.
     """
     manifest = manifest_table(spark, [entry])
-    data = arrival.infer_entities(new.where(names.is_data_file(F.col("file_name"))), manifest)
+    is_data, is_sidecar = names.is_data_file(F.col("file_name")), names.is_sidecar(F.col("file_name"))
+    data = arrival.infer_entities(new.where(is_data), manifest)
     present = {r.entity for r in data.select("entity").distinct().collect()}
-    outcomes = new.where(names.is_sidecar(F.col("file_name"))).select(
-        "dir_id",
-        "file_name",
-        F.lit(None).cast("string").alias("uri"),
-        F.lit(ledger.SIDECAR).alias("outcome"),
-        F.lit(None).cast("string").alias("file_type"),
-        F.lit(None).cast("bigint").alias("rows_valid"),
-        F.lit(None).cast("bigint").alias("rows_dropped"),
-    )
+    others = new.where(~is_data).withColumn("uri", F.lit(None).cast("string"))
+    outcomes = _outcomes(others.where(is_sidecar), ledger.SIDECAR)
+    outcomes = outcomes.unionByName(_outcomes(others.where(~is_sidecar), ledger.IGNORED))
     gated = {
         entity: partial(
             _gate_entity, spark, lake, entry, entity, data.where(F.col("entity") == entity), day, run_id
@@ -154,21 +180,10 @@ def process_files(
     for gate_outcomes in run_together(gated).values():
         outcomes = outcomes.unionByName(gate_outcomes)
     if None in present:
-        strays = data.where(F.col("entity").isNull())
-        rows = read_csv_files(spark, strays)
-        land_files(rows, lake.dead_letter(entry["dir_id"], UNKNOWN), day, names.base_name(F.col(PATH)))
         uri = dead_letter_uri(lake.root, F.col("dir_id"), F.lit(UNKNOWN), F.lit(day).cast("date"), F.col("file_name"))
-        outcomes = outcomes.unionByName(
-            strays.select(
-                "dir_id",
-                "file_name",
-                uri.alias("uri"),
-                F.lit(ledger.REJECTED).alias("outcome"),
-                F.lit(None).cast("string").alias("file_type"),
-                F.lit(None).cast("bigint").alias("rows_valid"),
-                F.lit(None).cast("bigint").alias("rows_dropped"),
-            )
-        )
+        strays = data.where(F.col("entity").isNull()).withColumn("uri", uri)
+        copy_files(strays.withColumnRenamed("uri", "target"))
+        outcomes = outcomes.unionByName(_outcomes(strays, ledger.REJECTED))
     return outcomes
 
 
@@ -181,14 +196,23 @@ def ingest_directory(
     allowed_missing: int = 0,
     lookback_from: date | None = None,
 ) -> IngestResult:
-    """One directory for one business date. The ledger is written last, so a failed run is simply repeated."""
+    """One directory for one business date. The ledger is written last, so a failed run is simply repeated.
+
+    With `lookback_from`, only the ledger months from `LOOKBACK_MONTHS` before that day are read, and only files that
+    changed since then are looked at, so that files of older months are not taken for new ones.
+    """
     run_id = run_id or audit.new_run_id()
     manifest = manifest_table(spark, [entry])
     book = ledger.FileLedger(spark, lake.file_ledger)
     listing = list_directory(spark, folder_of(lake, entry), entry["dir_id"])
     processed = book.processed(lookback_from).where(F.col("dir_id") == entry["dir_id"])
     first_run = processed.isEmpty()
-    new = arrival.new_files(listing, processed)
+    if lookback_from:
+        listing = ledger.within_lookback(listing, lookback_from)
+    # Read by every step below, so the folder is listed once.
+    new_path = lake.quality("new_files", run_id, entry["dir_id"], "all")
+    arrival.new_files(listing, processed).write.mode("overwrite").parquet(new_path)
+    new = spark.read.parquet(new_path)
     new_count = new.count()
     if new_count:
         check_arrival(manifest, entry, day, new, processed, allowed_missing)

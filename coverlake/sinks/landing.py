@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.functions import names
-from coverlake.sources.raw_csv import COLUMNS, OVERFLOW, PATH
 
 # Days each layer keeps its files.
 RETENTION_DAYS = {"bronze": 90, "dead_letter": 30}
@@ -16,12 +15,6 @@ RETENTION_DAYS = {"bronze": 90, "dead_letter": 30}
 # Fixed value: the tag that says how a landed file came in.
 SOURCE_TAG = "sftp_ingestion"
 
-# Columns of a raw frame that are not part of a landed file.
-NOT_STORED = [COLUMNS, OVERFLOW, PATH, "_file_name"]
-
-FILE_PARTITIONS = ["year", "month", "day", "file"]
-
-
 def _folders(day: Column) -> list[Column]:
     return [F.concat(F.lit(f"{k}="), v) for k, v in names.date_partition_columns(day).items()]
 
@@ -37,37 +30,10 @@ def dead_letter_uri(root: str, dir_id: Column, entity: Column, day: Column, file
     return F.concat_ws("/", F.lit(f"{root}/dead_letter"), dir_id, known, *_folders(day), file_name)
 
 
-def with_tags(rows: DataFrame, dir_id: str, entity: str, day: date) -> DataFrame:
-    """Tags every landed row carries: how it came in, its directory, its entity and the date it was landed for."""
-    tags = {"_source": SOURCE_TAG, "_dir_id": dir_id, "_entity": entity, "_landed_for": day.isoformat()}
-    return rows.withColumns({name: F.lit(value) for name, value in tags.items()})
-
-
-def land_files(rows: DataFrame, path: str, day: date, file_name: Column) -> None:
-    """Write raw text rows below `year=/month=/day=/file=`, replacing only the files at hand.
-
-    A repeated run therefore leaves one copy of each file, and other files of the day stay. Row positions are kept as
-    columns, so the order within a file survives any number of output files. The rebalance hint lets AQE split a file
-    that holds most of the rows.
-    """
-    parts = {**names.date_partition_columns(F.lit(day).cast("date")), "file": file_name}
-    kept = rows.withColumns(parts).drop(*NOT_STORED)
-    (
-        kept.hint("rebalance", "file")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("escape", '"')
-        .partitionBy(*FILE_PARTITIONS)
-        .csv(path)
-    )
-
-
-def land_bare_header(rows: DataFrame, path: str, day: date, file_name: str) -> None:
-    """Land an accepted file that has a header and no rows."""
-    empty = rows.drop(*NOT_STORED).limit(0)
-    target = f"{path}/{names.date_path(day)}/file={file_name}"
-    empty.write.mode("overwrite").option("header", True).csv(target)
+def file_tags(dir_id: str, entity: str, day: date) -> Column:
+    """Tags of a landed file: how it came in, its directory, its entity and the date it was landed for."""
+    tags = {"source": SOURCE_TAG, "dir_id": dir_id, "entity": entity, "business_date": day.isoformat()}
+    return F.create_map(*[F.lit(x) for pair in tags.items() for x in pair])
 
 
 def expired_partitions(partitions: DataFrame, as_of: date, days: dict[str, int] = RETENTION_DAYS) -> DataFrame:

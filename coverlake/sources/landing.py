@@ -32,9 +32,13 @@ LISTING_TYPE = T.StructType(
     ]
 )
 
-# Files up to this size are hashed as one cell by the built-in function; longer ones are read in chunks.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
+
+# What can be wrong with a file before its rows are looked at.
+UNREADABLE = "unreadable_header"
+NOT_UTF8 = "not_utf8"
+REPEATED_COLUMN = "repeated_column"
+RESERVED_COLUMN = "reserved_column"
 LISTING_BATCH = 10_000
 
 
@@ -89,15 +93,6 @@ def list_directory(spark: SparkSession, path: str, dir_id: str) -> DataFrame:
     return files.where(names.is_visible(F.col("file_name"))).select(F.lit(dir_id).alias("dir_id"), "*")
 
 
-def list_landing(spark: SparkSession, root: str, directories: list[dict]) -> DataFrame:
-    """The listing of every manifest directory under one landing root."""
-    listing = empty_frame(spark, LISTING_TYPE)
-    for entry in directories:
-        folder = f"{root.rstrip('/')}/{entry['remote_dir'].strip('/')}"
-        listing = listing.unionByName(list_directory(spark, folder, entry["dir_id"]))
-    return listing
-
-
 def expected_digest(text: Column) -> Column:
     """First word of a sidecar (`<hex>` or `<hex>  <file name>`), lower-cased."""
     return F.lower(F.element_at(F.split(F.regexp_replace(text, r"^\s+", ""), r"\s+"), 1))
@@ -118,41 +113,46 @@ def read_sidecars(spark: SparkSession, path: str, suffix: str = names.SIDECAR_SU
     )
 
 
+def _digest(path: str) -> str | None:
+    digest = hashlib.sha256()
+    try:
+        with open_stream(path) as stream:
+            while chunk := stream.read(CHUNK_BYTES):
+                digest.update(chunk)
+    except FileNotFoundError:
+        return None
+    return digest.hexdigest()
+
+
 def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            digest = hashlib.sha256()
-            with open_stream(path) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(actual=digests)
-
-
-def file_digests(
-    spark: SparkSession, path: str, pattern: str = "*", whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(file_name, actual) SHA-256 of every file in a folder.
-
-    The length filter reaches the scan, so the content of long files is never loaded as one cell.
+        yield batch.assign(actual=[_digest(path) for path in batch["path"]])
+
+
+def file_digests(files: DataFrame) -> DataFrame:
+    """(file_name, actual) SHA-256 of the listed files (path), read in chunks whatever their size.
+
+    Only the files named are opened; one that does not exist has no digest.
     """
-    schema = struct(file_name=T.StringType(), actual=T.StringType())
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return empty_frame(spark, schema)
-    name = names.base_name(F.col("path")).alias("file_name")
-    short = files.where(F.col("length") <= whole_file_bytes).select(name, F.sha2("content", 256).alias("actual"))
-    long = (
-        files.where(F.col("length") > whole_file_bytes)
-        .select("path")
-        .mapInPandas(_digest_batches, "path string, actual string")
-        .select(name, "actual")
-    )
-    return short.unionByName(long)
+    hashed = files.select("path").mapInPandas(_digest_batches, "path string, actual string")
+    return hashed.select(names.base_name(F.col("path")).alias("file_name"), "actual")
+
+
+def _copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path, target in zip(batch["path"], batch["target"]):
+            filesystem, inner = _filesystem(target)
+            filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
+            with open_stream(path) as source, filesystem.open_output_stream(inner) as sink:
+                while chunk := source.read(CHUNK_BYTES):
+                    sink.write(chunk)
+        yield batch
+
+
+def copy_files(files: DataFrame) -> None:
+    """Copy each `path` to its `target` byte for byte. A repeated run writes the same bytes to the same place."""
+    spread = files.select("path", "target").repartition("path")
+    spread.mapInPandas(_copy_batches, "path string, target string").write.format("noop").mode("overwrite").save()
 
 
 def unique_header(cells: list[str]) -> list[str]:
@@ -166,14 +166,30 @@ def unique_header(cells: list[str]) -> list[str]:
     return result
 
 
-def _first_record(path: str) -> list[str] | None:
-    """Cells of the first CSV record, or nothing for a file without one."""
-    with open_stream(path) as stream:
-        text = io.TextIOWrapper(io.BufferedReader(_RawStream(stream)), encoding="utf-8-sig", newline="")
-        for record in csv.reader(text):
-            if record:
-                return unique_header(record)
-    return None
+def _first_record(path: str, reserved: frozenset[str]) -> tuple[list[str] | None, str | None]:
+    """Cells of the first CSV record (none for a file without one), or what is wrong with them.
+
+    Bytes that are not UTF-8 are carried through here, so only those in the header count.
+    """
+    try:
+        with open_stream(path) as stream:
+            text = io.TextIOWrapper(
+                io.BufferedReader(_RawStream(stream)), encoding="utf-8-sig", errors="surrogateescape", newline=""
+            )
+            record = next((r for r in csv.reader(text) if r), None)
+    except (csv.Error, OSError) as error:
+        return None, f"{UNREADABLE}: {error}"
+    if record is None:
+        return None, None
+    header = unique_header(record)
+    if any("\udc80" <= letter <= "\udcff" for cell in header for letter in cell):
+        return None, f"{NOT_UTF8}: header"
+    lowered = [cell.lower() for cell in header]
+    if repeated := sorted({c for c in lowered if lowered.count(c) > 1}):
+        return None, f"{REPEATED_COLUMN}: {', '.join(repeated)}"
+    if taken := sorted(reserved.intersection(lowered)):
+        return None, f"{RESERVED_COLUMN}: {', '.join(taken)}"
+    return header, None
 
 
 class _RawStream(io.RawIOBase):
@@ -191,16 +207,16 @@ class _RawStream(io.RawIOBase):
         return len(data)
 
 
-def _header_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(columns=[_first_record(p) for p in batch["path"]])
-
+def read_headers(files: DataFrame, reserved: frozenset[str] = frozenset()) -> DataFrame:
+    """(path, length, columns, fault) of each listed file. Without columns, a fault says what is wrong with the header;
+    neither means an empty file. Only the first block of a file is read, and no file's fault stops the others.
+    """
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """(path, length, columns) with the header cells of each listed file; null columns mean an empty file.
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [_first_record(path, reserved) for path in part["path"]]
+            yield part.assign(columns=[c for c, _ in found], fault=[f for _, f in found])
 
-    Only the first block of a file is read.
-    """
     return files.select("path", "length").mapInPandas(
-        _header_batches, "path string, length long, columns array<string>"
+        batches, "path string, length long, columns array<string>, fault string"
     )

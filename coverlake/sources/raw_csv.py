@@ -25,8 +25,8 @@ ROW_ID = "_row_id"
 ROW_ORDER = [SOURCE_FILE, BLOCK_START, ROW_ID]
 PATH = "_path"
 
-# Files that fit in one split lose nothing by being parsed whole, which allows line breaks inside quotes.
-SPLIT_BYTES = 128 * 1024 * 1024
+# Names a delivered file may not use, in any case.
+RESERVED = frozenset([COLUMNS, OVERFLOW, SOURCE_FILE, BLOCK_START, ROW_ID, PATH, "_business_date", "_file_name"])
 
 _EMPTY_TYPE = T.StructType(
     [
@@ -49,18 +49,20 @@ def bare_path(path: str) -> str:
     return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
-def _breaks_inside_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Of some long files, the bare paths of those where a line holds an odd number of quotes, so a record may span
-    lines."""
+def text_traits(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Of each file with lines: whether a line holds an odd number of quotes, so a record may span lines, and whether
+    all bytes are UTF-8. One pass over the raw lines, reduced per file in the map tasks."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    rows = (
-        spark.read.text(paths)
-        .select("value", names.plain_path(F.col("_metadata.file_path")).alias("path"))
-        .where(quotes % 2 == 1)
-        .select("path")
-        .distinct()
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    return (
+        lines.select(
+            names.plain_path(F.col("_metadata.file_path")).alias("path"),
+            (F.coalesce(quotes, F.lit(0)) % 2 == 1).alias("odd"),
+            F.is_valid_utf8("value").alias("valid"),
+        )
+        .groupBy("path")
+        .agg(F.expr("bool_or(odd)").alias("spans_lines"), F.expr("bool_and(valid)").alias("is_utf8"))
     )
-    return {bare_path(r.path) for r in rows.collect()}
 
 
 def _scan(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool) -> DataFrame:
@@ -73,41 +75,50 @@ def _scan(spark: SparkSession, paths: list[str], header: list[str], multi_line:
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
-    position = {
-        SOURCE_FILE: names.plain_path(F.col("_metadata.file_path")),
-        BLOCK_START: F.col("_metadata.file_block_start"),
-        ROW_ID: F.monotonically_increasing_id(),
-    }
-    stored = {SOURCE_FILE: "string", BLOCK_START: "long", ROW_ID: "long"}
-    order = [F.col(c).cast(stored[c]).alias(c) if c in header else position[c].alias(c) for c in ROW_ORDER]
-    data_columns = [c for c in header if not c.startswith("_")]
     return rows.select(
-        *[F.col(f"`{c}`") for c in [*data_columns, OVERFLOW]],
-        *order,
-        F.lit(data_columns).cast("array<string>").alias(COLUMNS),
+        *[F.col(f"`{c}`") for c in [*header, OVERFLOW]],
+        names.plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK_START),
+        F.monotonically_increasing_id().alias(ROW_ID),
+        F.lit(header).cast("array<string>").alias(COLUMNS),
         names.plain_path(F.col("_metadata.file_path")).alias(PATH),
     )
 
 
-def read_csv_files(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read_csv_files(spark: SparkSession, files: DataFrame, whole_folders: bool = False) -> DataFrame:
     """Rows of the listed CSV files as text, columns matched by name.
 
-    Files with the same header form one scan, so an ordinary day is one scan. A file longer than one split is read in
-    splits unless it has line breaks inside quotes. Only paths and headers pass through the driver, as they do in
-    Spark's own file index. Cells beyond the header land in `_overflow`.
+    Files with the same header form one scan, so an ordinary day is one scan. A file is read in splits, whatever its
+    length, unless some line holds an odd number of quotes; then its records may span lines and it is read whole.
+    Cells beyond the header land in `_overflow`. Files with a faulty header are left out. Paths pass through the
+    driver, as they do in Spark's own file index; with `whole_folders`, a folder whose files are all listed and alike
+    is passed as one path.
     """
+    headers = read_headers(files, RESERVED).where(F.col("columns").isNotNull())
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    if whole_folders:
+        kinds = headers.groupBy(folder.alias("folder")).agg(
+            F.collect_set("columns").alias("kinds"), F.collect_list(F.struct("path", "columns")).alias("members")
+        )
+        alike = F.size("kinds") == 1
+        targets = kinds.select(
+            F.explode(
+                F.when(alike, F.array(F.struct(F.col("folder").alias("path"), F.col("kinds")[0].alias("columns"))))
+                .otherwise(F.col("members"))
+            ).alias("t")
+        ).select("t.path", "t.columns")
+    else:
+        targets = headers.select("path", "columns")
+    found = targets.orderBy("path").collect()
+    if not found:
+        return empty_raw(spark)
+    traits = text_traits(spark, [r.path for r in found]).where("spans_lines").select("path").collect()
+    spanning = {bare_path(r.path) for r in traits}
+    spanning_folders = {path.rpartition("/")[0] for path in spanning}
     groups: dict[tuple, list[str]] = defaultdict(list)
-    long_files: dict[str, tuple] = {}
-    for row in read_headers(files).where(F.col("columns").isNotNull()).orderBy("path").collect():
-        header = tuple(row["columns"])
-        if row["length"] <= split_bytes:
-            groups[header, True].append(row["path"])
-        else:
-            long_files[row["path"]] = header
-    if long_files:
-        whole = _breaks_inside_quotes(spark, sorted(long_files))
-        for path, header in long_files.items():
-            groups[header, bare_path(path) in whole].append(path)
+    for row in found:
+        bare = bare_path(row.path)
+        groups[tuple(row["columns"]), bare in spanning or bare in spanning_folders].append(row.path)
     result = empty_raw(spark)
     for (header, multi_line), paths in groups.items():
         scan = _scan(spark, paths, list(header), multi_line)
@@ -143,18 +154,14 @@ def bronze_files(
     return files.select("path", "length", day).where(F.col("business_date").isNotNull())
 
 
-def bronze_dates(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame:
-    """Distinct partition dates of an entity over all directories, sorted."""
-    return bronze_files(spark, bronze_root, entity).select("business_date").distinct().orderBy("business_date")
+def bronze_dates(
+    spark: SparkSession, bronze_root: str, entity: str, dates: list[date] | None = None
+) -> DataFrame:
+    """Distinct partition dates of an entity over all directories, sorted; with dates given, only those are listed."""
+    return bronze_files(spark, bronze_root, entity, dates).select("business_date").distinct().orderBy("business_date")
 
 
-def read_bronze(
-    spark: SparkSession,
-    bronze_root: str,
-    entity: str,
-    dates: list[date] | None = None,
-    split_bytes: int = SPLIT_BYTES,
-) -> DataFrame:
+def read_bronze(spark: SparkSession, bronze_root: str, entity: str, dates: list[date] | None = None) -> DataFrame:
     """Raw rows of an entity for the given dates (all when none are named), with `_business_date`."""
-    rows = read_csv_files(spark, bronze_files(spark, bronze_root, entity, dates), split_bytes)
+    rows = read_csv_files(spark, bronze_files(spark, bronze_root, entity, dates), whole_folders=True)
     return rows.withColumn("_business_date", names.path_date(F.col(PATH))).drop(PATH)

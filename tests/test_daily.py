@@ -1,6 +1,8 @@
 """The whole day on fixture files: goldens, idempotence and recovery."""
 
+import os
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from conftest import CLAIMS, DAY, PREMIUMS, land_day, write_csv, write_sidecar
 from coverlake.operators.arrival import ArrivalIncomplete
 from coverlake.operators.checksum import ChecksumFailed
 from coverlake.operators.ledger import DateLedger, FileLedger
+from coverlake.plans import daily
 from coverlake.plans.daily import run_day
 from coverlake.plans.gold import load_gold
 from coverlake.plans.ingest import ingest_directory
@@ -101,8 +104,9 @@ def test_bad_file_goes_to_dead_letter_and_the_rest_lands(spark, tmp_path):
     lake = Lake(str(tmp_path))
     result = ingest_directory(spark, lake, REPORTS, DAY)
     assert (result.landed, result.rejected) == (1, 1)
-    dead = spark.read.option("header", True).csv(f"{lake.root}/dead_letter/reports/premiums")
-    assert dead.count() == 2 and {r.file for r in dead.collect()} == {"premiums_20260514.csv"}
+    address = {r.file_name: r.uri for r in result.outcomes.collect()}["premiums_20260514.csv"]
+    assert address.startswith(f"{lake.root}/dead_letter/reports/premiums/")
+    assert Path(address).read_bytes() == (tmp_path / "landing/reports/premiums_20260514.csv").read_bytes()
     found = spark.read.parquet(f"{lake.root}/quality/violations")
     assert rows_of(found, "column_name", "check_name", "failure_value") == [("amount_due", "greater_than(0)", "0")]
     assert silver_for_date(spark, lake, "premiums", DAY) == "no_bronze"
@@ -159,6 +163,71 @@ def test_headers_may_differ_and_missing_columns_reject(spark, tmp_path):
     ]
 
 
+def test_every_file_has_an_outcome_and_keeps_its_bytes(spark, tmp_path):
+    land_day(tmp_path)
+    lake = Lake(str(tmp_path))
+    folder = tmp_path / "landing" / "reports"
+    header, row = ",".join(PREMIUMS[0]), ",".join(PREMIUMS[0].values())
+    padded = dict(PREMIUMS[0], premium_id=" PRM-20260010 ", _note=" kept ")
+    write_csv(folder / "premiums_padded.csv", [dict(padded, premium_id="PRM-20260010")])
+    write_csv(folder / "premiums_refused.csv", [padded])
+    (folder / "premiums_twice.csv").write_text(header + ",Status\n" + row + ",x\n")
+    (folder / "premiums_taken.csv").write_text(header + ",_overflow\n" + row + ",x\n")
+    (folder / "premiums_latin_near.csv").write_bytes((header + ",é\n" + row + ",x\n").encode("latin-1"))
+    (folder / "premiums_latin_far.csv").write_bytes((header + ",n\n" + (row + ",x\n") * 3000 + row + ",é\n").encode("latin-1"))
+    (folder / "premiums_empty.csv").write_text("")
+    (folder / "premiums_bare.csv").write_text(header + "\n")
+    (folder / "premiums_overfull.csv").write_text(header + "\n" + row + ",one,two\n")
+    (folder / "invoices_empty.csv").write_text("")
+    (folder / "notes.txt").write_text("hello")
+    (folder / "claims_20260514.csv.gpg").write_bytes(b"\x00\xff")
+    result = ingest_directory(spark, lake, REPORTS, DAY)
+    outcomes = {r.file_name: r for r in result.outcomes.collect()}
+    assert {n: r.outcome for n, r in outcomes.items()} == {
+        "premiums_20260514.csv": "landed", "reinsurance_20260514.csv": "landed", "premiums_padded.csv": "landed",
+        "premiums_bare.csv": "landed", "premiums_refused.csv": "rejected", "premiums_twice.csv": "rejected",
+        "premiums_taken.csv": "rejected", "premiums_latin_near.csv": "rejected", "premiums_latin_far.csv": "rejected",
+        "premiums_empty.csv": "rejected", "premiums_overfull.csv": "rejected", "invoices_empty.csv": "rejected",
+        "notes.txt": "ignored", "claims_20260514.csv.gpg": "ignored",
+    }
+    for name, r in outcomes.items():
+        if r.outcome in ("landed", "rejected"):
+            assert Path(r.uri).read_bytes() == (folder / name).read_bytes()
+            assert (r.tags is not None) == (r.outcome == "landed")
+    assert outcomes["premiums_padded.csv"].tags == {
+        "source": "sftp_ingestion", "dir_id": "reports", "entity": "premiums", "business_date": "2026-05-14",
+    }
+    found = spark.read.parquet(f"{lake.root}/quality/violations").collect()
+    checks = {(r.source_file, r.check_name) for r in found}
+    assert {
+        ("premiums_twice.csv", "repeated_column"), ("premiums_taken.csv", "reserved_column"),
+        ("premiums_latin_near.csv", "not_utf8"), ("premiums_latin_far.csv", "not_utf8"),
+        ("premiums_overfull.csv", "too_many_cells"),
+    } <= checks
+    assert {r.row_key for r in found if r.source_file == "premiums_refused.csv"} == {" PRM-20260010 "}
+    assert ingest_directory(spark, lake, REPORTS, DAY).new_files == 0
+    silver_for_date(spark, lake, "premiums", DAY, as_of=DAY)
+    kept = read_silver(spark, lake.silver, "premiums", DAY).where("premium_id = 'PRM-20260010'").collect()
+    assert [r._note for r in kept] == [" kept "]
+    assert all(Path(r._source_file.removeprefix("file:")).is_file() for r in kept)
+
+
+def test_lookback_bounds_ledger_and_listing(spark, tmp_path):
+    land_day(tmp_path)
+    lake = Lake(str(tmp_path))
+    old = write_csv(tmp_path / "landing/reports/premiums_old.csv", [dict(PREMIUMS[0])])
+    os.utime(old, (0, 0))
+    assert ingest_directory(spark, lake, REPORTS, DAY, lookback_from=date.today()).new_files == 2
+    assert ingest_directory(spark, lake, REPORTS, DAY).new_files == 1
+
+
+def test_a_failed_silver_entity_stops_gold(spark, tmp_path, monkeypatch):
+    land_day(tmp_path)
+    monkeypatch.setattr(daily, "silver_all", lambda *a: {"claims": "error: no space"})
+    with pytest.raises(RuntimeError, match="claims"):
+        run_day(spark, str(tmp_path), DAY, as_of=DAY)
+
+
 def test_backfill_is_one_job_over_pending_dates_and_late_files_win(spark, tmp_path):
     lake = Lake(str(tmp_path))
     for offset in range(3):

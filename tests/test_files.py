@@ -9,9 +9,11 @@ from conftest import DAY, write_csv, write_sidecar
 from coverlake.operators import arrival, audit, checksum, ledger
 from coverlake.sinks.landing import expired_partitions
 from coverlake.sinks.tables import replace_date, truncate_load
+from coverlake.sources import landing
 from coverlake.sources.landing import file_digests, list_directory, read_sidecars
 from coverlake.sources.manifest import DIRECTORIES, directory, manifest_entities, manifest_table, read_manifest
 from coverlake.sources.raw_csv import read_csv_files
+from coverlake.sources.samples import padded
 
 
 def listed(spark, *files, day=DAY):
@@ -67,19 +69,22 @@ def test_entity_inference(spark):
     assert "premiums_20260514.csv.gpg" in names and "claims_1.csv.gpg" not in names
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 1 << 20])
-def test_checksums(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("chunk_bytes", [1, 1 << 20])
+def test_checksums(spark, tmp_path, chunk_bytes, monkeypatch):
+    monkeypatch.setattr(landing, "CHUNK_BYTES", chunk_bytes)
     good = write_csv(tmp_path / "a b+1.csv", [{"x": "1"}])
     wrong = write_csv(tmp_path / "wrong.csv", [{"x": "2"}])
     write_csv(tmp_path / "unchecked.csv", [{"x": "3"}])
     write_sidecar(good), write_sidecar(wrong, "0" * 64)
     (tmp_path / "gone.csv.sha256").write_text("ab  gone.csv")
     folder = str(tmp_path)
-    report = checksum.checksum_report(read_sidecars(spark, folder), file_digests(spark, folder, "*.csv", whole_file_bytes))
+    report = checksum.checksum_report(read_sidecars(spark, folder), file_digests(list_directory(spark, folder, "d")))
     assert {r.file_name: r.ok for r in report.collect()} == {"a b+1.csv": True, "wrong.csv": False, "gone.csv": False}
     with pytest.raises(checksum.ChecksumFailed, match="gone.csv.*wrong.csv"):
         checksum.require_checksums(report)
-    assert read_sidecars(spark, folder + "/none").isEmpty() and file_digests(spark, folder + "/none").isEmpty()
+    assert read_sidecars(spark, folder + "/none").isEmpty()
+    gone = spark.createDataFrame([(folder + "/none.csv",)], "path string")
+    assert [tuple(r) for r in file_digests(gone).collect()] == [("none.csv", None)]
 
 
 def test_listing_skips_dot_files_and_keeps_empty_ones(spark, tmp_path):
@@ -90,6 +95,22 @@ def test_listing_skips_dot_files_and_keeps_empty_ones(spark, tmp_path):
     assert list_directory(spark, str(tmp_path / "none"), "d").isEmpty()
 
 
+@pytest.mark.parametrize("split_bytes", [4, 1 << 20])
+def test_files_of_all_lengths_are_read_alike(spark, tmp_path, split_bytes):
+    (tmp_path / "cr.csv").write_bytes(b"a,b\n1,x\ry\n2,z\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        rows = read_csv_files(spark, list_directory(spark, str(tmp_path), "d")).select("a", "b").collect()
+        assert sorted((r.a, r.b or "") for r in rows) == [("1", "x"), ("2", "z"), ("y", "")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_ids_of_many_digits_stay_whole(spark):
+    got = spark.sql(f"SELECT {padded('x', 8)} AS p FROM VALUES (7), (12345678), (123456789012) AS t(x)").collect()
+    assert [r.p for r in got] == ["00000007", "12345678", "123456789012"]
+
+
 def test_long_files_are_read_in_splits_unless_records_span_lines(spark, tmp_path):
     rows = [{"id": str(n), "text": f"row {n}"} for n in range(500)]
     write_csv(tmp_path / "plain.csv", rows)
@@ -98,7 +119,7 @@ def test_long_files_are_read_in_splits_unless_records_span_lines(spark, tmp_path
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
         files = list_directory(spark, str(tmp_path), "d")
-        found = read_csv_files(spark, files, split_bytes=1024)
+        found = read_csv_files(spark, files)
         counts = found.groupBy(F.regexp_extract("_path", "([^/]+)$", 1).alias("f")).agg(
             F.count("*").alias("n"), F.count_distinct("_block_start").alias("blocks"), F.count_distinct("id").alias("ids"),
             F.max("text").alias("t"),

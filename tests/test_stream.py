@@ -47,7 +47,7 @@ def test_ingest_stream_lands_each_file_once(spark, tmp_path):
     bad = [dict(PREMIUMS[0], currency="EURO")]
     write_csv(tmp_path / "landing/reports/premiums_late.csv", bad)
     stream_ingest(spark, lake, reports, DAY, checkpoint).awaitTermination()
-    landed = spark.read.option("header", True).csv(f"{lake.bronze}/reports/premiums")
-    assert {r.file for r in landed.collect()} == {"premiums_20260514.csv"} and landed.count() == 2
-    dead = spark.read.option("header", True).csv(f"{lake.root}/dead_letter/reports/premiums")
-    assert [r.file for r in dead.collect()] == ["premiums_late.csv"]
+    landed = spark.read.option("recursiveFileLookup", True).option("header", True).csv(f"{lake.bronze}/reports/premiums")
+    assert landed.count() == 2 and {f.rsplit("/", 1)[-1] for f in landed.inputFiles()} == {"premiums_20260514.csv"}
+    dead = spark.read.option("recursiveFileLookup", True).text(f"{lake.root}/dead_letter/reports/premiums")
+    assert [f.rsplit("/", 1)[-1] for f in dead.inputFiles()] == ["premiums_late.csv"]
