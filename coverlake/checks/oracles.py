@@ -485,6 +485,9 @@ FROM (SELECT DISTINCT dir_id FROM files) AS d""",
 FROM ({silver('claims')}) AS s WHERE day(_business_date) % 9 <> 0""",
     "truncate_load": f"SELECT * FROM ({GOLD['dim_policy']}) AS d WHERE is_active",
     "backfill_silver": f"""SELECT * EXCLUDE (_ord, _source_file) FROM ({silver('premiums', MONTHLY_PREMIUMS)}) AS s""",
+    "landed_cells": f"""SELECT claim_id, concat('  ', claimant_name, ' ') AS claimant_name, adjuster_id, status, claimed_amount,
+       nullif(approved_amount, '') AS approved_amount, '   ' AS _note, strftime(_business_date, '%Y%m') AS month
+FROM ({raw_sql('claims')}) AS m""",
     "bronze_partitions": f"""SELECT _business_date AS business_date, count(*) AS n_rows, count(claim_id) AS n_ids,
        count(adjuster_id) AS n_adjusters FROM ({raw_sql('claims')}) AS m GROUP BY 1""",
     "stream_incremental_silver": f"SELECT * EXCLUDE (_ord, _source_file) FROM ({silver('claims')}) AS s",

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from coverlake.checks import inputs
 from coverlake.functions import names
 from coverlake.operators import arrival, audit, checksum, gate, gold, ledger, silver
+from coverlake.plans.ingest import folder_of, ingest_directory
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import silver_backfill, silver_for_date
 from coverlake.session import scratch_dir
 from coverlake.sinks.landing import bronze_uri, expired_partitions
 from coverlake.sinks.tables import replace_listed, truncate_load
-from coverlake.sources.landing import expected_digest
-from coverlake.sources.manifest import manifest_entities, manifest_table
+from coverlake.sources.landing import copy_files, expected_digest
+from coverlake.sources.manifest import DIRECTORIES, manifest_entities, manifest_table
 from coverlake.sources.raw_csv import bronze_dates as list_bronze_dates
-from coverlake.sources.raw_csv import read_bronze
+from coverlake.sources.raw_csv import read_bronze, read_csv_files
 from coverlake.sources.samples import SAMPLE_DATE, SAMPLE_ORDER, raw_sample, table
 from coverlake.specs import REGISTRY
 from coverlake.streaming.incremental import stream_silver
@@ -323,6 +324,44 @@ def stream_incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_run_columns(spark.read.parquet(f"{lake.silver}/claims"))
 
 
+LANDED_CELLS = ["claim_id", "claimant_name", "adjuster_id", "status", "claimed_amount", "approved_amount", "_note"]
+
+
+def landed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly claim files with padded and blank cells through the real landing, read back at their recorded address.
+
+    Every file counts, landed or rejected: both keep the cells as delivered.
+    """
+    lake = Lake(scratch_dir(spark, "landed"))
+    entry = DIRECTORIES[0]
+    month = F.date_format("_business_date", "yyyyMM")
+    rows = raw_sample(spark, sf_dir, "claims").withColumns(
+        {"month": month, "claimant_name": F.concat(F.lit("  "), "claimant_name", F.lit(" ")), "_note": F.lit("   ")}
+    )
+    written = f"{lake.root}/outbox"
+    (
+        rows.drop("_business_date", "_source_file", "_ord")
+        .hint("rebalance", "month")
+        .write.partitionBy("month")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(written)
+    )
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(written)
+    name = F.concat(
+        F.lit(f"{folder_of(lake, entry)}/claims_"), F.regexp_extract("path", "month=([0-9]+)", 1), F.lit("_"),
+        F.regexp_extract("path", "part-([0-9]+)", 1), F.lit(".csv"),
+    )
+    copy_files(parts.select("path", name.alias("target")))
+    n_expected = len(entry["files"]) * 2
+    outcomes = ingest_directory(spark, lake, entry, SAMPLE_DATE, allowed_missing=n_expected).outcomes
+    files = outcomes.select(F.col("uri").alias("path"), F.lit(0).cast("bigint").alias("length")).where("path IS NOT NULL")
+    month_of = F.regexp_extract("_source_file", "claims_([0-9]+)_", 1).alias("month")
+    return read_csv_files(spark, files).select(*LANDED_CELLS, month_of)
+
+
 def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw claims through the CSV layer: dates found and rows read back per date."""
     lake = Lake(scratch_dir(spark, "bronze"))
@@ -377,5 +416,6 @@ QUERIES: dict[str, Query] = {
     "truncate_load": truncated_load,
     "backfill_silver": backfill_silver,
     "bronze_partitions": bronze_partitions,
+    "landed_cells": landed_cells,
     "stream_incremental_silver": stream_incremental_silver,
 }
