@@ -16,34 +16,7 @@ from pathlib import Path
 from coverlake.checks.queries import QUERIES
 from coverlake.session import build_session
 
-HEADLINE = [
-    "silver_policies",
-    "silver_claims",
-    "silver_premiums",
-    "silver_reinsurance",
-    "dim_policy",
-    "dim_claimant",
-    "dim_reinsurer",
-    "fact_premiums",
-    "fact_claims",
-    "fact_reinsurance",
-    "agg_daily_premium_summary",
-    "agg_claim_by_status",
-    "agg_reinsurer_exposure",
-    "violations_premiums",
-    "file_stats",
-    "duplicate_keys",
-    "parse_failures",
-    "dedup_dropped",
-    "arrival_report",
-    "entity_inference",
-    "new_files",
-    "ledger_state",
-    "checksum_report",
-    "partition_replace",
-    "backfill_silver",
-    "stream_incremental_silver",
-]
+HEADLINE = list(QUERIES)
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

@@ -7,9 +7,24 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coverlake.functions import names
 
+AUDIT_TYPE = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("business_date", T.DateType()),
+        T.StructField("gcs_uri", T.StringType()),
+        T.StructField("file_type", T.StringType()),
+        T.StructField("rows_valid", T.LongType()),
+        T.StructField("rows_dropped", T.LongType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("dir_id", T.StringType()),
+        T.StructField("gcs_prefix", T.StringType()),
+    ]
+)
+
 
 def new_run_id() -> str:
     return str(uuid.uuid4())

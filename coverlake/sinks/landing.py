@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coverlake.functions import names
+from coverlake.sources.landing import delete_files, path_missing
+from coverlake.sources.local import empty_frame, struct
 
 # Days each layer keeps its files.
 RETENTION_DAYS = {"bronze": 90, "dead_letter": 30}
@@ -41,3 +45,24 @@ def expired_partitions(partitions: DataFrame, as_of: date, days: dict[str, int]
     keep = F.create_map(*[v for layer, n in days.items() for v in (F.lit(layer), F.lit(n))])
     limit = F.try_element_at(keep, F.col("layer"))
     return partitions.where(F.datediff(F.lit(as_of).cast("date"), F.col("partition_date")) > limit)
+
+
+def layer_files(spark: SparkSession, root: str, layers: list[str]) -> DataFrame:
+    """Files of layers below their date folders: layer, partition_date, path. Contents are not read."""
+    found = empty_frame(spark, struct(layer=T.StringType(), partition_date=T.DateType(), path=T.StringType()))
+    for layer in layers:
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/{layer}")
+        except AnalysisException as error:
+            if not path_missing(error):
+                raise
+            continue
+        dated = files.select(F.lit(layer).alias("layer"), names.path_date(F.col("path")).alias("partition_date"), "path")
+        found = found.unionByName(dated.where("partition_date IS NOT NULL"))
+    return found
+
+
+def expire_layers(spark: SparkSession, root: str, as_of: date, days: dict[str, int] = RETENTION_DAYS) -> int:
+    """Delete the files of partitions older than their layer keeps; returns how many. Files without bytes and files
+    outside a date folder stay, as file scans do not show the former and the latter have no age."""
+    return delete_files(expired_partitions(layer_files(spark, root, list(days)), as_of, days))

@@ -155,6 +155,22 @@ def copy_files(files: DataFrame) -> None:
     spread.mapInPandas(_copy_batches, "path string, target string").write.format("noop").mode("overwrite").save()
 
 
+def _delete_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path in batch["path"]:
+            filesystem, inner = _filesystem(path)
+            try:
+                filesystem.delete_file(inner)
+            except FileNotFoundError:  # a repeated task
+                pass
+        yield batch
+
+
+def delete_files(files: DataFrame) -> int:
+    """Delete the listed files (path) from tasks; returns how many were listed."""
+    return files.select("path").mapInPandas(_delete_batches, "path string").count()
+
+
 def unique_header(cells: list[str]) -> list[str]:
     """Repeated column names get `.1`, `.2`, ... as the pandas reader does."""
     seen: dict[str, int] = {}

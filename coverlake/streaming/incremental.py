@@ -14,10 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from coverlake.functions import names
+from coverlake.operators import arrival, audit, ledger
 from coverlake.operators.ledger import ledger_dates
 from coverlake.plans.ingest import check_digests, folder_of, process_files
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import rebuild_dates
+from coverlake.sources.manifest import manifest_table
+from coverlake.sources.tables import read_or_empty
 
 # The columns of Spark's binary file source.
 FILE_TYPE = T.StructType(
@@ -79,7 +82,11 @@ def stream_ingest(
     checkpoint: str,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Landing files of one directory as they appear: checksums, gate, bronze or dead letter."""
+    """Landing files of one directory as they appear: checksums, gate, bronze or dead letter, audit, ledger.
+
+    The ledger comes last, as in a batch run, so that a batch run after the stream finds nothing new. A batch that runs
+    twice writes its audit rows once.
+    """
 
     def gate_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -91,9 +98,16 @@ def stream_ingest(
             "modified_at",
         ).where(names.is_visible(F.col("file_name")))
         check_digests(session, lake, entry, new)
-        run_id = f"stream-{entry['dir_id']}-{batch_id}"
-        outcomes = process_files(session, lake, entry, new, day, run_id)
-        outcomes.write.mode("overwrite").parquet(lake.quality("outcomes", run_id, entry["dir_id"], "all"))
+        run_id = f"stream-{entry['dir_id']}-{day.isoformat()}-{batch_id}"
+        outcomes_path = lake.quality("outcomes", run_id, entry["dir_id"], "all")
+        process_files(session, lake, entry, new, day, run_id).write.mode("overwrite").parquet(outcomes_path)
+        outcomes = session.read.parquet(outcomes_path)
+        if read_or_empty(session, lake.audit, audit.AUDIT_TYPE).where(F.col("run_id") == run_id).isEmpty():
+            landed = outcomes.where(F.col("outcome") == ledger.LANDED)
+            audit.write_audit(audit.audit_rows(landed, outcomes, run_id, day), lake.audit)
+        entries = outcomes.withColumn("business_date", F.lit(day).cast("date"))
+        entries = arrival.with_encrypted_names(entries, manifest_table(session, [entry]))
+        ledger.FileLedger(session, lake.file_ledger).record(entry["dir_id"], entries)
 
     return (
         watch_files(spark, folder_of(lake, entry), "*", files_per_batch)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import DAY, write_csv, write_sidecar
 from coverlake.operators import arrival, audit, checksum, ledger
-from coverlake.sinks.landing import expired_partitions
+from coverlake.sinks.landing import expire_layers, expired_partitions
 from coverlake.sinks.tables import replace_date, truncate_load
 from coverlake.sources import landing
 from coverlake.sources.landing import file_digests, list_directory, read_sidecars
@@ -204,5 +204,15 @@ def test_retention(spark):
     ]
 
 
+def test_expired_files_are_deleted(spark, tmp_path):
+    for layer, age in (("bronze", 90), ("bronze", 91), ("dead_letter", 31), ("silver", 500)):
+        day = DAY - timedelta(days=age)
+        write_csv(tmp_path / f"{layer}/d/e/year={day.year}/month={day.month:02d}/day={day.day:02d}/{layer}{age}.csv", [{"a": "1"}])
+    write_csv(tmp_path / "bronze/d/e/loose.csv", [{"a": "1"}])
+    assert expire_layers(spark, str(tmp_path), DAY) == 2
+    assert sorted(p.name for p in tmp_path.rglob("*.csv")) == ["bronze90.csv", "loose.csv", "silver500.csv"]
+    assert expire_layers(spark, str(tmp_path), DAY) == 0
+
+
 def test_directories_are_whole():
     assert [d["dir_id"] for d in DIRECTORIES] == ["inbound", "reports"]

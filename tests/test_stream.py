@@ -3,6 +3,7 @@
 from datetime import timedelta
 
 from conftest import CLAIMS, DAY, PREMIUMS, land_day, write_csv
+from coverlake.plans.ingest import ingest_directory
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import silver_backfill
 from coverlake.sources.manifest import DIRECTORIES
@@ -51,3 +52,6 @@ def test_ingest_stream_lands_each_file_once(spark, tmp_path):
     assert landed.count() == 2 and {f.rsplit("/", 1)[-1] for f in landed.inputFiles()} == {"premiums_20260514.csv"}
     dead = spark.read.option("recursiveFileLookup", True).text(f"{lake.root}/dead_letter/reports/premiums")
     assert [f.rsplit("/", 1)[-1] for f in dead.inputFiles()] == ["premiums_late.csv"]
+    assert ingest_directory(spark, lake, reports, DAY).new_files == 0
+    audit = spark.read.parquet(lake.audit)
+    assert sorted(r.file_type for r in audit.collect()) == ["premiums", "reinsurance"]
