@@ -148,7 +148,7 @@ def infer_entity(file_name: str, own_entities: list[str] | None = None) -> str:
     for entity in [*(own_entities or []), *REGISTRY]:
         if file_name.lower().startswith(entity):
             return entity
-    raise ValueError(f"Cannot determine file type for: {file_name!r}. Known entities: {list(REGISTRY)}")
+    raise ValueError(f"Cannot determine file type of {file_name!r}; it starts with none of {list(REGISTRY)}")
 
 
 def new_files(listing: DataFrame, processed: DataFrame) -> DataFrame:

@@ -9,18 +9,16 @@ from pyspark.sql import types as T
 from coverlake.sources.local import local_frame
 
 FILE_TYPE = T.StructType(
-    [T.StructField(n, T.StringType(), False) for n in ("entity", "pattern", "checksum", "schema")]
+    [T.StructField(n, T.StringType(), False) for n in ("entity", "pattern", "checksum")]
 )
 
 MANIFEST_TYPE = T.StructType(
     [
         T.StructField("dir_id", T.StringType(), False),
-        T.StructField("label", T.StringType(), False),
         T.StructField("remote_dir", T.StringType(), False),
         T.StructField("use_pgp", T.BooleanType(), False),
         T.StructField("use_checksum", T.BooleanType(), False),
         T.StructField("gcs_prefix", T.StringType(), False),
-        T.StructField("state_key", T.StringType(), False),
         T.StructField("files", T.ArrayType(FILE_TYPE, False), False),
     ]
 )
@@ -29,38 +27,32 @@ MANIFEST_TYPE = T.StructType(
 DIRECTORIES = [
     {
         "dir_id": "inbound",
-        "label": "Operational files (policies + claims)",
         "remote_dir": "/inbound/",
         "use_pgp": True,
         "use_checksum": True,
         "gcs_prefix": "bronze/inbound",
-        "state_key": "sftp/inbound",
         "files": [
             {
                 "entity": "policies",
                 "pattern": "policies_%Y%m%d.csv.gpg",
                 "checksum": "policies_%Y%m%d.csv.sha256",
-                "schema": "policies",
             },
             {
                 "entity": "claims",
                 "pattern": "claims_%Y%m%d.csv.gpg",
                 "checksum": "claims_%Y%m%d.csv.sha256",
-                "schema": "claims",
             },
         ],
     },
     {
         "dir_id": "reports",
-        "label": "Financial reports (premiums + reinsurance)",
         "remote_dir": "/reports/",
         "use_pgp": False,
         "use_checksum": False,
         "gcs_prefix": "bronze/reports",
-        "state_key": "sftp/reports",
         "files": [
-            {"entity": "premiums", "pattern": "premiums_%Y%m%d.csv", "checksum": "", "schema": "premiums"},
-            {"entity": "reinsurance", "pattern": "reinsurance_%Y%m%d.csv", "checksum": "", "schema": "reinsurance"},
+            {"entity": "premiums", "pattern": "premiums_%Y%m%d.csv", "checksum": ""},
+            {"entity": "reinsurance", "pattern": "reinsurance_%Y%m%d.csv", "checksum": ""},
         ],
     },
 ]
@@ -86,14 +78,14 @@ def directory(manifest: DataFrame, dir_id: str) -> dict:
     rows = manifest.where(F.col("dir_id") == dir_id).limit(1).collect()
     if not rows:
         known = [r.dir_id for r in manifest.select("dir_id", "dir_pos").orderBy("dir_pos").collect()]
-        raise KeyError(f"Unknown dir_id: {dir_id!r}. Available: {known}")
+        raise KeyError(f"The manifest has no directory {dir_id!r}, only {known}")
     return rows[0].asDict(recursive=True)
 
 
 def manifest_files(manifest: DataFrame) -> DataFrame:
     """One row per file entry, with the directory's flags and both positions."""
     return manifest.select(
-        "dir_pos", "dir_id", "use_pgp", "use_checksum", "gcs_prefix", "state_key",
+        "dir_pos", "dir_id", "use_pgp", "use_checksum", "gcs_prefix",
         F.posexplode("files").alias("file_pos", "file"),
     ).select("*", "file.*").drop("file")
 

@@ -93,7 +93,7 @@ def register(spec: EntitySpec) -> EntitySpec:
 
 def get_spec(entity: str) -> EntitySpec:
     if entity not in REGISTRY:
-        raise ValueError(f"Unknown entity: {entity!r}. Known: {list(REGISTRY)}")
+        raise ValueError(f"No contract is registered for {entity!r}, only for {list(REGISTRY)}")
     return REGISTRY[entity]
 
 

@@ -53,7 +53,7 @@ def test_a_heavy_key_shrinks_before_the_shuffle(spark, raw):
 
 
 def test_unknown_and_new_entities():
-    with pytest.raises(ValueError, match="Unknown entity"):
+    with pytest.raises(ValueError, match="No contract"):
         get_spec("invoices")
     try:
         register(EntitySpec("brokers", "broker_id", (Field("broker_id"),), upper=("broker_id",)))
