@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.llm.arrays import slices, words_of
-from coverlake.llm.text import unused
+from coverlake.llm.text import materialise, unused
 
 FOLDS = 4
 TEST_FOLD = 2
@@ -259,15 +259,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").selectExpr("toxic", "coalesce(text, '') AS text")
-    n_toxic, n_all = texts.agg(F.expr("sum(CAST(toxic > 0 AS INT))"), F.count("*")).first()
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = materialise(texts.selectExpr("CAST(toxic > 0 AS INT) AS toxic", "coalesce(text, '') AS text"), "labelled")
+    n_toxic, n_all = texts.agg(F.sum("toxic"), F.count("*")).first()
     n_toxic, n_other = n_toxic or 0, (n_all or 0) - (n_toxic or 0)
     model = Model()
     if not n_toxic or not n_other:
         return model
     table = (
-        texts.selectExpr("CAST(toxic > 0 AS INT) AS toxic", "text")
-        .mapInArrow(_entries, "entry string, n_toxic long, n_other long")
+        texts.mapInArrow(_entries, "entry string, n_toxic long, n_other long")
         .groupBy("entry")
         .agg(F.sum("n_toxic").alias("a"), F.sum("n_other").alias("b"))
         .where(f"a >= 3 AND a * {n_other}L > b * {n_toxic}L")
@@ -297,12 +297,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                     [part.column("toxic"), pa.array(rows.tolist(), pa.list_(pa.float64()))], names=["toxic", "f"]
                 )
 
-    rows = (
-        texts.selectExpr("CAST(toxic > 0 AS INT) AS toxic", "text")
-        .mapInArrow(measured, "toxic int, f array<double>")
-        .orderBy("toxic", "f")
-        .collect()
-    )
+    # put in order, so that the sums of the fit do not depend on the order of tasks
+    rows = sorted(texts.mapInArrow(measured, "toxic int, f array<double>").collect())
     model.weights = fit_weights(np.array([r.f for r in rows]), np.array([r.toxic for r in rows], float))
     return model
 

@@ -134,7 +134,9 @@ def train(labelled: DataFrame, most_urls: int = TRAINING_URLS) -> LogisticRegres
     low, high, n = bounded.agg(F.min("label"), F.max("label"), F.count("*")).first()
     if not n or low == high:
         return float(low or 0.0)
-    return LogisticRegression(maxIter=40, regParam=0.001).fit(bounded)
+    model = LogisticRegression(maxIter=40, regParam=0.001).fit(bounded)
+    bounded.unpersist()
+    return model
 
 
 def judge(places: DataFrame, model: LogisticRegressionModel | float) -> DataFrame:
