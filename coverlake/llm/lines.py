@@ -12,7 +12,11 @@ LEAST_CHARS = 20
 #: Edits (insert, delete, replace a character) up to which two lines are copies.
 EDITS = 2
 #: Characters counted, modulo 16, for a bound on the distance that needs no text.
-COUNTED = "etanoirshdlbwgu,"
+COUNTED = "etanoirshdlu"
+#: Mark above the counts: the probing line is the longer one.
+LONGER = 1 << 48
+#: Characters counted for the same bound on the lines that are left.
+COUNTED_AGAIN = "abcdefghijklmnopqrstuvwxyz .,"
 #: Candidate lines up to this many are looked up by broadcast, at 16 bytes each; more are joined by shuffle.
 BROADCAST_LINES = 1_000_000
 
@@ -53,24 +57,28 @@ def index_keys(edits: int) -> str:
 
 
 def probe_keys(edits: int) -> str:
-    """What a line looks up, as an SQL array of (key, shorter): substrings where a segment of another line can lie.
+    """What a line looks up, hashed, as an SQL array: substrings where a segment of another line can lie.
 
     Of two lines within `edits` edits, one segment of the shorter line stands unchanged in the longer one, shifted by no
     more than the edits left of it, and by no more than the edits right of it when counted from the end. A line probes
-    the indexes of its own length and of up to `edits` smaller ones.
+    the indexes of its own length, which come first, and of up to `edits` smaller ones.
     """
     keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
             start, size = _segment(i, f"n - {less}", edits)
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                key = f"xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size}))"
-                keys.append(f"named_struct('key', {key}, 'shorter', {'true' if less else 'false'})")
+                keys.append(f"xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size}))")
     return f"array({', '.join(keys)})"
 
 
+def own_length_probes(edits: int) -> int:
+    """How many of a line's probes look for lines of its own length."""
+    return sum(2 * min(i, edits - i) + 1 for i in range(edits + 1))
+
+
 def sketch_sql() -> str:
-    """Counts of sixteen characters, four bits each."""
+    """Counts of twelve characters, four bits each."""
     return " | ".join(
         f"shiftleft(CAST((octet_length(line) - octet_length(replace(line, '{c}', ''))) % 16 AS BIGINT), {4 * k})"
         for k, c in enumerate(COUNTED)
@@ -128,26 +136,42 @@ def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     """
     rows = line_rows(docs).where("h1 IS NOT NULL")
     places = firsts.selectExpr("first.doc_id AS d", "first.line_no AS l", "first.text_hash AS t").hint("shuffle_hash")
-    distinct = rows.join(
-        places, rows.doc_id.eqNullSafe(places.d) & (rows.line_no == places.l) & (rows.text_hash == places.t), "left_semi"
-    ).selectExpr("h1", "line", "length(line) AS n", f"{sketch_sql()} AS sketch")
-    index = distinct.selectExpr("h1 AS a1", "sketch AS a_sketch", f"explode({index_keys(edits)}) AS key")
-    probes = distinct.selectExpr("h1 AS b1", "sketch AS b_sketch", f"inline({probe_keys(edits)})").withColumnRenamed(
-        "key", "probe_key"
-    )
-    close = sketches_within_sql("a_sketch", "b_sketch", edits)
-    pairs = index.join(probes, (index.key == probes.probe_key) & F.expr(f"(shorter OR b1 > a1) AND {close}"))
+    long_lines = line_rows(docs).select("doc_id", "text_hash", "line_no", "line").where(f"length(line) >= {LEAST_CHARS}")
+    distinct = long_lines.join(
+        places,
+        long_lines.doc_id.eqNullSafe(places.d) & (long_lines.line_no == places.l) & (long_lines.text_hash == places.t),
+        "left_semi",
+    ).selectExpr("line", "length(line) AS n")
+    # keys are projected before they are exploded: the generator then only walks an array
+    index = distinct.selectExpr("xxhash64(line) AS a1", f"{sketch_sql()} AS a_sketch", f"{index_keys(edits)} AS found")
+    index = index.selectExpr("a1", "a_sketch", "explode(found) AS key")
+    probes = distinct.selectExpr("xxhash64(line) AS b1", f"{sketch_sql()} AS b_sketch", f"{probe_keys(edits)} AS found")
+    probes = probes.selectExpr("b1", "b_sketch", "posexplode(found) AS (place, probe_key)").selectExpr(
+        "b1", f"b_sketch | CASE WHEN place < {own_length_probes(edits)} THEN 0L ELSE {LONGER}L END AS b_mark", "probe_key"
+    )
+    close = sketches_within_sql("a_sketch", "b_mark", edits)
+    once = f"(b_mark >= {LONGER}L OR b1 > a1)"
+    pairs = index.join(probes, (index.key == probes.probe_key) & F.expr(f"{once} AND {close}"))
     pairs = materialise(pairs.select("a1", "b1").distinct(), "line-pairs")
     ends = materialise(pairs.selectExpr("a1 AS h1").union(pairs.selectExpr("b1 AS h1")).distinct(), "line-ends")
     if ends.count() <= BROADCAST_LINES:
         ends = F.broadcast(ends)
+    counted = ", ".join(f"octet_length(line) - octet_length(replace(line, '{c}', ''))" for c in COUNTED_AGAIN)
     texts = materialise(
         rows.join(ends, "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "line-texts"
-    ).selectExpr("h1", "h2", "regexp_extract_all(line, '(?s).', 0) AS chars")
-    left = texts.selectExpr("h1 AS a1", "h2 AS a2", "chars AS a")
-    right = texts.selectExpr("h1 AS b1", "h2 AS b2", "chars AS b")
+    ).selectExpr("h1", "h2", "line", f"array({counted}) AS counts")
+    left = texts.selectExpr("h1 AS a1", "h2 AS a2", "line AS a", "counts AS a_counts")
+    right = texts.selectExpr("h1 AS b1", "h2 AS b2", "line AS b", "counts AS b_counts")
+    gaps = "zip_with(a_counts, b_counts, (x, y) -> x - y)"
+    up = f"aggregate({gaps}, 0, (s, x) -> s + greatest(x, 0)) <= {edits}"
+    down = f"aggregate({gaps}, 0, (s, x) -> s + greatest(-x, 0)) <= {edits}"
+    likely = materialise(
+        pairs.join(left, "a1").join(right, "b1").where(f"{up} AND {down}").select("a1", "a2", "a", "b1", "b2", "b"),
+        "line-likely",
+    )
+    chars = "regexp_extract_all({0}, '(?s).', 0) AS {0}".format
     return (
-        pairs.join(left, "a1").join(right, "b1")
+        likely.selectExpr("a1", "a2", "b1", "b2", chars("a"), chars("b"))
         .where(within_edits_sql("a", "b", edits))
         .select("a1", "a2", "b1", "b2")
     )
