@@ -53,8 +53,8 @@ def branch_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
 
     A branch is the path from a root to a leaf; its score is the sum of its nodes' scores, ties go to the smaller leaf.
     Self-joins double the distance a pointer looks up, so a tree of depth d takes log2(d) of them: the first ones sum
-    the scores above each node, the later ones walk from the chosen leaves to their roots. Every round is written to
-    the shared folder. A node whose parent is missing is a root; nodes on a cycle have no leaf below them and are left
+    the scores above each node, the later ones walk from the chosen leaves to their roots. A node that has reached its
+    root is not joined again. Every round is written to the shared folder. A node whose parent is missing is a root; nodes on a cycle have no leaf below them and are left
     out. Node ids are unique within a tree.
     """
     jumps = [
@@ -67,20 +67,21 @@ def branch_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         .selectExpr("h.tree_id AS tree_id", "h.node AS node", "n AS up", "total", "steps")
     )
     jumps = [materialise(pointers, "tree")]
-    rounds = 0
+    finished = jumps[0].where("up IS NULL")
+    active = jumps[0].where("up IS NOT NULL")
     n_nodes = None
-    while not jumps[-1].where("up IS NOT NULL").isEmpty():
+    while not active.isEmpty():
         n_nodes = n_nodes or jumps[0].count()
-        if 2**rounds > n_nodes:  # deeper than there are nodes: only cycles are left
+        if 2 ** len(jumps) > 2 * n_nodes:  # deeper than there are nodes: only cycles are left
             break
-        now = jumps[-1]
-        far = now.selectExpr("tree_id AS t", "node AS n", "up AS up2", "total AS total2", "steps AS steps2")
-        doubled = now.join(far, now.tree_id.eqNullSafe(far.t) & (now.up == far.n), "left").selectExpr(
-            "tree_id", "node", "up2 AS up", "total + coalesce(total2, 0.0D) AS total", "steps + coalesce(steps2, 0L) AS steps"
+        far = active.unionByName(finished).selectExpr("tree_id AS t", "node AS n", "up AS up2", "total AS total2", "steps AS steps2")
+        doubled = active.join(far, active.tree_id.eqNullSafe(far.t) & (active.up == far.n)).selectExpr(
+            "tree_id", "node", "up2 AS up", "total + total2 AS total", "steps + steps2 AS steps"
         )
         jumps.append(materialise(doubled, "tree"))
-        rounds += 1
-    done = jumps[-1].where("up IS NULL")
+        finished = finished.unionByName(jumps[-1].where("up IS NULL"))
+        active = jumps[-1].where("up IS NOT NULL")
+    done = finished
     parents = jumps[0].where("up IS NOT NULL").selectExpr("tree_id AS t", "up AS n").distinct()
     leaves = done.join(parents, done.tree_id.eqNullSafe(parents.t) & (done.node == parents.n), "left_anti")
     chosen = leaves.selectExpr(
@@ -88,7 +89,7 @@ def branch_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         "row_number() OVER (PARTITION BY tree_id ORDER BY total DESC, node) AS branch",
     ).where(F.col("branch") <= branches)
     walk = chosen.selectExpr("tree_id", "branch", "node AS leaf", "node", "length AS depth", "path_score")
-    for k in reversed(range(rounds)):
+    for k in reversed(range(len(jumps) - 1)):
         step = jumps[k].where("up IS NOT NULL").selectExpr("tree_id AS t", "node AS n", "up")
         above = walk.join(step, walk.tree_id.eqNullSafe(step.t) & (walk.node == step.n)).selectExpr(
             "tree_id", "branch", "leaf", "up AS node", f"depth - {2**k}L AS depth", "path_score"
