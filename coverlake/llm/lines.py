@@ -165,13 +165,16 @@ def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     gaps = "zip_with(a_counts, b_counts, (x, y) -> x - y)"
     up = f"aggregate({gaps}, 0, (s, x) -> s + greatest(x, 0)) <= {edits}"
     down = f"aggregate({gaps}, 0, (s, x) -> s + greatest(-x, 0)) <= {edits}"
+    # characters are stored, since a filter would evaluate their expression anew at each step of the walk
+    chars = "regexp_extract_all({0}, '(?s).', 0) AS {0}".format
     likely = materialise(
-        pairs.join(left, "a1").join(right, "b1").where(f"{up} AND {down}").select("a1", "a2", "a", "b1", "b2", "b"),
+        pairs.join(left, "a1").join(right, "b1").where(f"{up} AND {down}")
+        .selectExpr("a1", "a2", chars("a"), "b1", "b2", chars("b")),
         "line-likely",
     )
-    chars = "regexp_extract_all({0}, '(?s).', 0) AS {0}".format
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        likely.selectExpr("a1", "a2", "b1", "b2", chars("a"), chars("b"))
+        likely.repartition(tasks, "a1", "b1")
         .where(within_edits_sql("a", "b", edits))
         .select("a1", "a2", "b1", "b2")
     )
