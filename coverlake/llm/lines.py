@@ -26,7 +26,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
         "doc_id", "xxhash64(text) AS text_hash", r"posexplode(split(text, '\n')) AS (line_no, raw)"
     )
     trimmed = split.selectExpr(
-        "doc_id", "text_hash", "line_no", r"trim(BOTH ' \t\n\u000b\f\r' FROM raw) AS line"
+        "doc_id", "text_hash", "line_no", r"trim(BOTH ' \t\n\u000b\u000c\r' FROM raw) AS line"
     ).selectExpr("*", f"length(line) >= {LEAST_CHARS} AS long_enough")
     return trimmed.selectExpr(
         "doc_id", "text_hash", "line_no", "line",

@@ -203,6 +203,17 @@ def test_line_links_are_complete(spark, prose):
             assert row.first_docs == [min(earlier)]
 
 
+def test_lines_are_trimmed_of_form_feeds_and_keep_their_outer_f(spark):
+    least = "one line of the roof"  # just as long as needed
+    other = "from here to the roof of it"
+    given = [least, least, other, other[1:] + "z!", "\x0c\x0b " + other + "\x0c", "ffrom here to the roofff", "rom here to the roo, yes"]
+    rows = lines.line_rows(make(spark, [(i, t, "s") for i, t in enumerate(given)])).collect()
+    assert {r.doc_id: r.line for r in rows} == {i: t.strip() for i, t in enumerate(given)}
+    got = {r.doc_id: (r.n_exact, r.n_near) for r in lines.dedup_lines(make(spark, [(i, t, "s") for i, t in enumerate(given)])).collect()}
+    # the second line of just 20 characters is a copy; the fourth is three edits from the third
+    assert got == {0: (0, 0), 1: (1, 0), 2: (0, 0), 3: (0, 0), 4: (1, 0), 5: (0, 0), 6: (0, 0)}
+
+
 def shingles(t, n=5):
     w = words(t)
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
