@@ -171,6 +171,10 @@ def _verify(threshold: float):
     return run
 
 
+#: A text as a key; null counts as empty.
+TEXT_KEY = "unhex(md5(CAST(coalesce(text, '') AS BINARY)))"
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -192,9 +196,28 @@ def near_duplicates(
     Null texts count as empty. Texts without words are only copies of each other if they are equal; texts of fewer
     than n words are one shingle. A null id is a document like others; other columns are ignored.
     """
+    signed, by_text = _texts(docs, threshold, n, rows, recall)
+    return (
+        signed.select("doc_id", "text_key")
+        .join(by_text, "text_key")
+        .select("doc_id", "class_id", "text_id", "n_copies", "n_links")
+    )
+
+
+def _texts(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    n: int = SHINGLE_WORDS,
+    rows: int = ROWS,
+    recall: float = TARGET_RECALL,
+) -> tuple[DataFrame, DataFrame]:
+    """Each row's text key, and of each text: text_key, text_id, n_copies, n_links, class_id, root.
+
+    `root` is one text key of the class; it is null for a text that has no links.
+    """
     bands = bands_for(threshold, rows, recall)
     keyed = docs.selectExpr("doc_id", "coalesce(text, '') AS text").selectExpr(
-        "doc_id", "text", "unhex(md5(CAST(text AS BINARY))) AS text_key"
+        "doc_id", "text", f"{TEXT_KEY} AS text_key"
     )
     id_type = keyed.schema["doc_id"].dataType.simpleString()
     signed = materialise(
@@ -273,22 +296,26 @@ def near_duplicates(
         .join(classes, "root", "left")
         .selectExpr(
             "text_key", "text_id", "n_copies", "coalesce(n_links, 0L) AS n_links",
-            "CASE WHEN root IS NULL THEN text_id ELSE class_id END AS class_id",
+            "CASE WHEN root IS NULL THEN text_id ELSE class_id END AS class_id", "root",
         )
     )
-    return (
-        signed.select("doc_id", "text_key")
-        .join(by_text, "text_key")
-        .select("doc_id", "class_id", "text_id", "n_copies", "n_links")
-    )
+    return signed, by_text
 
 
 def one_of_each_class(docs: DataFrame, **settings) -> DataFrame:
-    """`docs` with one row of each class: of its smallest id. Repeated rows with that id and text are one document."""
-    winner, own_key = unused(docs, "winner", "own_key")
-    classes = near_duplicates(docs, **settings)
-    winners = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).selectExpr(f"doc_id AS {winner}").distinct()
-    kept = docs.join(winners, docs.doc_id.eqNullSafe(winners[winner]), "left_semi")
-    return kept.withColumn(own_key, F.expr("md5(CAST(coalesce(text, '') AS BINARY))")).dropDuplicates(
-        ["doc_id", own_key]
-    ).drop(own_key)
+    """`docs` with one row of each class: of its smallest id, or without one if none of its rows has an id.
+
+    Of several texts with that id, one stays. Repeated rows with that id and text are one document.
+    """
+    winner, winner_key, own_key = unused(docs, "winner", "winner_key", "own_key")
+    _, texts = _texts(docs, **settings)
+    winners = (
+        texts.groupBy(F.expr("coalesce(root, text_key) AS class"))
+        .agg(F.expr("min(struct(text_id IS NULL AS missing, text_id, text_key)) AS best"))
+        .selectExpr(f"best.text_id AS {winner}", f"best.text_key AS {winner_key}")
+    )
+    keyed = docs.withColumn(own_key, F.expr(TEXT_KEY))
+    kept = keyed.join(
+        winners, (keyed[own_key] == winners[winner_key]) & keyed.doc_id.eqNullSafe(winners[winner]), "left_semi"
+    )
+    return kept.dropDuplicates(["doc_id", own_key]).drop(own_key)

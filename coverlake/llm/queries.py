@@ -9,7 +9,7 @@ from coverlake.llm.text import table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), whole=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

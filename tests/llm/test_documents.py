@@ -112,6 +112,40 @@ def test_mixing_meets_targets_and_reshares_the_excess(spark):
     assert mixed.count() == sum(c for _, c, *_ in first)
 
 
+def test_rows_that_share_an_id_are_mixed_each_on_its_own(spark):
+    r = random.Random(2)
+    rows = [(None if i % 3 else 7, f"text{i} " + "w " * r.randint(0, 5), r.choice("ab")) for i in range(90)]
+    rows += [(None, "same words", "a")] * 5
+    docs = make(spark, rows)
+    mixture = mixing.mix(docs).persist()
+    wanted = Counter()
+    for row in mixture.collect():
+        assert 0 <= row.copies <= 2
+        wanted[row.doc_id, row.document.text, row.source] += row.copies
+    mixed = mixing.mixed_documents(docs, mixture)
+    assert mixed.columns == [*docs.columns, "copy_no"]
+    got = Counter((row.doc_id, row.text, row.source) for row in mixed.collect())
+    assert got == +wanted and sum(got.values()) > 90
+    assert set(got) <= set(rows)
+    clash = mixing.mixed_documents(d := docs.selectExpr("*", "1 AS copies", "2 AS document", "3 AS copy_no"), mixing.mix(d))
+    assert clash.columns == [*docs.columns, "copies", "document", "copy_no"]
+    assert Counter((row.doc_id, row.text, row.source) for row in clash.where("copies = 1 AND document = 2").collect()) == got
+    with pytest.raises(ValueError):
+        mixing.mixed_documents(docs, mixing.mix(docs, whole=False))
+
+
+def test_one_of_each_class_tells_rows_of_one_id_apart(spark, prose):
+    _, sentence = prose
+    a, b, c = (sentence(60) for _ in range(3))
+    # near copies without an id, near copies that share an id with another class's smallest, and a class of only nulls
+    rows = [(1, a), (None, a + " end"), (3, b), (4, c), (3, c + " end"), (None, "x " + c), (9, a + " stop")]
+    rows += [(None, d := sentence(60)), (None, d + " end"), (None, d)]
+    kept = near.one_of_each_class(make(spark, [(i, t, "s") for i, t in rows])).collect()
+    got = sorted(((r.doc_id or 0, r.text) for r in kept))
+    assert [i for i, _ in got] == [0, 1, 3, 3]
+    assert got[0][1] in (d, d + " end") and got[1:] == sorted([(1, a), (3, b), (3, c + " end")])
+
+
 def test_quality_measurements_ledger_and_ablations(spark):
     t = "a b c x a b c\n# <\nline here\nline here\n\n"
     row = quality.ledger(make(spark, [(1, t, "s")])).first()
