@@ -10,8 +10,8 @@ from coverlake.llm.text import materialise, unused
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
 #: Bits of the 64 in which fingerprints of a window and an item may differ. Two sets of weight similarity 0.8 differ in
-#: 9.7 bits on average with a deviation of 2.9, so that 999 of 1000 such pairs lie within.
-RADIUS = 18
+#: 9.7 bits on average with a deviation of 2.9; the binomial tail beyond 24 is 3 in a million such pairs.
+RADIUS = 24
 #: Tables up to this many rows, of at most 32 bytes each, are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 

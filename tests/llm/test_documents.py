@@ -22,6 +22,13 @@ def words(t):
     return re.findall(r"[^\x20\x09-\x0D]+", t or "")
 
 
+def prose_of(seed):
+    """Random sentences that leave the shared fixture's generator as it is."""
+    r = random.Random(seed)
+    vocabulary = ["".join(r.choice("abcdeilnorstu") for _ in range(r.randint(2, 8))) for _ in range(400)]
+    return lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+
+
 def make(spark, rows):
     return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOC)
 
@@ -134,8 +141,8 @@ def test_rows_that_share_an_id_are_mixed_each_on_its_own(spark):
         mixing.mixed_documents(docs, mixing.mix(docs, whole=False))
 
 
-def test_one_of_each_class_tells_rows_of_one_id_apart(spark, prose):
-    _, sentence = prose
+def test_one_of_each_class_tells_rows_of_one_id_apart(spark):
+    sentence = prose_of(5)
     a, b, c = (sentence(60) for _ in range(3))
     # near copies without an id, near copies that share an id with another class's smallest, and a class of only nulls
     rows = [(1, a), (None, a + " end"), (3, b), (4, c), (3, c + " end"), (None, "x " + c), (9, a + " stop")]
@@ -434,6 +441,11 @@ def test_leaks_equal_brute_force(spark, prose):
     assert len(got) >= 13
 
 
+def test_leak_radius_leaves_out_no_more_than_one_pair_in_100_000_at_the_threshold():
+    p = 9.7 / 64
+    assert sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(leaks.RADIUS + 1, 65)) < 1e-5
+
+
 def test_materialise_and_free_names(spark):
     df = text.materialise(spark.range(5), "t")
     assert df.count() == 5 and text.unused(df, "id", "other") == ["_id", "other"]
