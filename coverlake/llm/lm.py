@@ -68,8 +68,8 @@ def pack_sorted(values: np.ndarray) -> bytes:
 
 
 def unpack_sorted(packed: bytes) -> np.ndarray:
-    steps = unpack(packed[8:])
-    return np.cumsum(np.concatenate([[int.from_bytes(packed[:8], "little")], steps]).astype(np.uint64), dtype=np.uint64)
+    first = np.frombuffer(packed, np.uint64, count=1)  # as it is: a Python integer would turn the hashes into floats
+    return np.cumsum(np.concatenate([first, unpack(packed[8:])]), dtype=np.uint64)
 
 
 def _ask(n_cells: int):
