@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlake.llm.text import materialise, unused
@@ -66,6 +66,91 @@ def _fingerprinted(df: DataFrame) -> DataFrame:
     )
 
 
+def _grams_sql(words: str, size: int) -> str:
+    """Place, hash and weight of every run of `size` words of an array."""
+    at = [f"{words}[i + {k}]" for k in range(size)]
+    return (
+        f"CASE WHEN size({words}) < {size} THEN CAST(array() AS ARRAY<STRUCT<place: INT, h: BIGINT, w: INT>>)"
+        f" ELSE transform(sequence(0, size({words}) - {size}), i -> named_struct('place', i,"
+        f" 'h', xxhash64({', '.join(at)}), 'w', {' + '.join(f'length({x})' for x in at)})) END"
+    )
+
+
+def _windows(worded: DataFrame, items: DataFrame, threshold_percent: int) -> DataFrame:
+    """Item-sized windows whose common shingles with items of that size may weigh enough: n_words and start.
+
+    A shingle of a text that is one of an item lies in the windows that start from `n_words - 5` words before it up to
+    it. Every such shingle adds its weight where these windows begin and takes it away where they end; the running sum
+    is each window's weight of item shingles, counted at least once each. As the similarity is at most the common
+    weight over the item's, windows with less than the threshold's share of the lightest item cannot match.
+    """
+    anchors = materialise(
+        items.selectExpr("n_words", "explode(shingles.h) AS h")
+        .distinct()
+        .join(
+            items.groupBy("n_words").agg(F.expr("min(aggregate(shingles, 0L, (s, x) -> s + x.w)) AS lightest")),
+            "n_words",
+        ),
+        "anchors",
+    )
+    hits = (
+        worded.selectExpr(
+            "doc_id", "text_hash", "size(words) AS n_text", f"inline({_grams_sql('words', SHINGLE_WORDS)})"
+        )
+        .join(small(anchors), "h")
+        .selectExpr(
+            "doc_id", "text_hash", "n_words", "lightest", "w",
+            f"greatest(0, place - n_words + {SHINGLE_WORDS}) AS low",
+            "least(place, greatest(0, n_text - n_words)) AS high",
+            "place",
+        )
+        .distinct()
+    )
+    steps = (
+        hits.selectExpr(
+            "doc_id", "text_hash", "n_words", "lightest",
+            "inline(array(named_struct('start', low, 'step', CAST(w AS BIGINT)),"
+            " named_struct('start', high + 1, 'step', -CAST(w AS BIGINT))))",
+        )
+        .groupBy("doc_id", "text_hash", "n_words", "lightest", "start")
+        .agg(F.sum("step").alias("step"))
+    )
+    order = Window.partitionBy("doc_id", "text_hash", "n_words").orderBy("start")
+    runs = steps.select(
+        "doc_id", "text_hash", "n_words", "lightest", "start",
+        F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("weight"),
+        F.lead("start").over(order).alias("next"),
+    )
+    return runs.where(f"100 * weight >= {threshold_percent} * lightest AND next IS NOT NULL").selectExpr(
+        "doc_id", "text_hash", "n_words", "explode(sequence(start, next - 1)) AS start"
+    )
+
+
+def _short_items(worded: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Items of one to four words in documents, where all their words stand one after the other."""
+    items = benchmark.where("text IS NOT NULL").selectExpr("item_id", f"{normal_words_sql('text')} AS words")
+    items = items.where(f"size(words) BETWEEN 1 AND {SHINGLE_WORDS - 1}")
+    sizes = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())
+    grams = [f"transform({_grams_sql('words', n)}, g -> named_struct('n_words', {n}, 'start', g.place, 'h', g.h))" for n in sizes]
+    nothing = "CAST(array() AS ARRAY<STRUCT<n_words: INT, start: INT, h: BIGINT>>)"
+    listed = materialise(
+        items.selectExpr(
+            "item_id", "size(words) AS size",
+            "CASE size(words) " + " ".join(
+                f"WHEN {n} THEN xxhash64({', '.join(f'words[{k}]' for k in range(n))})" for n in range(1, SHINGLE_WORDS)
+            ) + " END AS item_hash",
+        ),
+        "short-items",
+    )
+    return (
+        worded.selectExpr("doc_id", "text_hash", f"inline({f'concat({chr(44).join(grams)})' if grams else nothing})")
+        .join(small(listed), F.expr("n_words = size AND h = item_hash"))
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(F.min("start").alias("start"), F.first("n_words").alias("n_words"))
+        .withColumn("similarity", F.lit(1.0))
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -74,15 +159,16 @@ def find_leaks(
 ) -> DataFrame:
     """Benchmark items found in documents: doc_id, text_hash, item_id, start, n_words, similarity.
 
-    A window has as many words as an item, and starts where one of the item's five-word shingles says the item would
-    start: a window without such a shingle has similarity 0, so none is lost, and each is fingerprinted once, whatever
-    pointed to it. Windows meet all items of their size through the blocks of their fingerprints; pairs within the
-    radius are verified by the weight of common shingles over the weight of all, a shingle weighing its letters. The
-    best window of each item is returned, `start` counted in words from 0.
+    A window has as many words as an item. Every window start is considered at which the shingles common with items of
+    that size may weigh enough for the threshold (`_windows`), so none is lost; each such window is fingerprinted once.
+    Windows meet the items of their size through the blocks of their fingerprints; pairs within the radius are verified
+    by the weight of common shingles over the weight of all, a shingle weighing its letters. The best window of each
+    item is returned, `start` counted in words from 0; of equally good ones the first.
 
-    Words are lower-cased runs of letters and digits. Items of fewer than five words and null items match nothing;
-    null and empty texts hold nothing. Equal items are all reported. Rows with the same id and text are one document;
-    other columns are ignored.
+    Words are lower-cased runs of letters and digits. An item of one to four words is found where all its words stand
+    one after the other, with similarity 1. Null items and items without words match nothing; null and empty texts hold
+    nothing. A text shorter than an item is compared as a whole. Equal items are all reported. Rows with the same id and
+    text are one document; other columns are ignored.
     """
     worded = docs.selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS text_hash", f"{normal_words_sql('text')} AS words")
     items = benchmark.where("text IS NOT NULL").selectExpr("item_id", f"{normal_words_sql('text')} AS words")
@@ -90,28 +176,7 @@ def find_leaks(
         _fingerprinted(items.where(f"size(words) >= {SHINGLE_WORDS}").selectExpr("item_id", "size(words) AS n_words", "words")),
         "items",
     )
-    in_order = benchmark.where("text IS NOT NULL").selectExpr(f"{normal_words_sql('text')} AS words")
-    anchors = materialise(
-        in_order.selectExpr("size(words) AS n_words", f"posexplode({shingles_sql('words')}) AS (offset, s)")
-        .selectExpr("s.h AS h", "offset", "n_words")
-        .distinct(),
-        "anchors",
-    )
-    positions = worded.selectExpr(
-        "doc_id", "text_hash", "size(words) AS n_text",
-        f"posexplode(CASE WHEN size(words) < {SHINGLE_WORDS} THEN CAST(array() AS ARRAY<BIGINT>)"
-        f" ELSE transform(sequence(0, size(words) - {SHINGLE_WORDS}),"
-        f" i -> xxhash64({', '.join(_words_at('words', 'i'))})) END) AS (place, h)",
-    )
-    windows = materialise(
-        positions.join(small(anchors), "h")
-        .selectExpr(
-            "doc_id", "text_hash", "n_words",
-            "CAST(greatest(0, least(place - offset, n_text - n_words)) AS INT) AS start",
-        )
-        .distinct(),
-        "windows",
-    )
+    windows = materialise(_windows(worded, items, threshold_percent), "windows")
     by_text = windows.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     if windows.count() <= BROADCAST_ROWS:
         by_text = F.broadcast(by_text)
@@ -156,9 +221,10 @@ def find_leaks(
     best = scored.groupBy("doc_id", "text_hash", "item_id").agg(
         F.expr("min(struct(-similarity AS cost, start, n_words))").alias("best")
     )
-    return best.selectExpr(
+    long_items = best.selectExpr(
         "doc_id", "text_hash", "item_id", "best.start AS start", "best.n_words AS n_words", "-best.cost AS similarity"
     )
+    return long_items.unionByName(_short_items(worded, benchmark))
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:

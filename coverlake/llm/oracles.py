@@ -5,8 +5,9 @@ The URL filter, the toxicity score and the language model are learned, so no SQL
 
 from __future__ import annotations
 
-from coverlake.llm import leaks, licenses, lines, mixing, quality
+from coverlake.llm import leaks, licenses, lines, lm, mixing, quality
 from coverlake.llm.near import SHINGLE_WORDS
+from coverlake.llm.text import UPPER
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 HAS_WORD = r"regexp_matches({}, '[^\x20\x09-\x0D]')"
@@ -170,9 +171,10 @@ bs AS MATERIALIZED (
   FROM b, unnest(range(1, greatest(len(w) - {_S - 2}, 1))) AS r(i)),
 wanted AS (SELECT DISTINCT item_id, n_words, s, length(replace(s, ' ', '')) AS weight FROM bs),
 total AS (SELECT item_id, sum(weight) AS total FROM wanted GROUP BY item_id),
+hit AS (SELECT DISTINCT ds.doc_id, bs.item_id, n_words, n_text, ds.place FROM ds JOIN bs USING (s)),
 win AS (
-  SELECT DISTINCT doc_id, bs.item_id, n_words, greatest(0, least(ds.place - bs.place, n_text - n_words)) AS start
-  FROM ds JOIN bs USING (s)),
+  SELECT DISTINCT doc_id, item_id, n_words, start
+  FROM hit, unnest(range(greatest(0, place - n_words + {_S}), least(place, greatest(0, n_text - n_words)) + 1)) AS r(start)),
 found AS (
   SELECT DISTINCT win.doc_id, item_id, n_words, start, s
   FROM win JOIN ds ON ds.doc_id = win.doc_id AND ds.place BETWEEN start AND start + n_words - {_S}),
@@ -185,7 +187,32 @@ m AS (
   FROM scored JOIN total USING (item_id)
   WHERE 100 * shared >= {leaks.THRESHOLD_PERCENT} * (have + total - shared))
 SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(n_words AS INTEGER) AS n_words, similarity
-FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n_words) = 1
+FROM (FROM m UNION ALL
+      SELECT doc_id, item_id, len(b.w), i - 1, CAST(1.0 AS DOUBLE)
+      FROM d, unnest(range(1, len(d.w) + 1)) AS r(i) JOIN b ON d.w[i : i + len(b.w) - 1] = b.w AND len(b.w) BETWEEN 1 AND {_S - 1})
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n_words) = 1
+"""
+
+_FOLD = f"""CAST(xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)),
+    CAST(4294967295 AS BIGINT)) % {lm.FOLDS} AS INTEGER)"""
+LM_BASE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, {_FOLD} AS fold,
+         list_append(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+'), ' ') AS w
+  FROM documents),
+t AS (SELECT k, fold, unnest(w) AS token FROM d),
+c AS (SELECT token, count(*) AS c FROM t WHERE fold <> {lm.TEST_FOLD} GROUP BY token),
+n AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c),
+s AS (
+  SELECT k, count(*) AS n_tokens, count(c) AS n_known,
+         sum(log10((coalesce(c, 0) + CAST(1 AS DOUBLE)) / (n + v + 1))) AS score
+  FROM t LEFT JOIN c USING (token), n GROUP BY k)
+SELECT doc_id, fold = {lm.TEST_FOLD} AS held_out, n_tokens, n_known, n AS train_tokens, round(score, 5) AS base_score
+FROM d JOIN s USING (k), n
 """
 
 ORACLES: dict[str, str] = {
@@ -195,5 +222,6 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": LINES,
     "op7_ngram_jaccard_join": NEAR,
     "op8_license_scans": LICENSES,
+    "lm_scoring_base": LM_BASE,
     "op10_benchmark_decontamination": LEAKS,
 }

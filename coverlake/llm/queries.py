@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from coverlake.llm import chat, leaks, licenses, lines, lm, mixing, near, quality, toxicity, urls
 from coverlake.llm.text import table
@@ -66,6 +67,11 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def lm_scoring_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counted columns of `op9_lm_scoring`, which SQL can express; the sum of logarithms to five places."""
+    return op9_lm_scoring(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 5))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
@@ -81,5 +87,6 @@ QUERIES = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scans": op8_license_scans,
     "op9_lm_scoring": op9_lm_scoring,
+    "lm_scoring_base": lm_scoring_base,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

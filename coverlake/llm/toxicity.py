@@ -50,7 +50,7 @@ REPORTS = frozenset(
     "appelé écrit selon dijo dice llamó escribió según".split()
 )
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = TAGS = range(6)
 #: How many words a negation, a target or a threat looks ahead.
 REACH = 3
 
@@ -85,13 +85,35 @@ def single(fires: int, mark: str) -> Transducer:
     return Transducer(({OTHER: (0, frozenset()), fires: (0, frozenset({mark}))},))
 
 
+def unexcused(opens: int, fires: int, mark: str) -> Transducer:
+    """Marks a `fires` tag at most REACH words after an `opens` tag that was neither negated nor reported itself.
+
+    A state holds how far the last negation and the last such tag still reach, and whether a report has been read.
+    """
+    states, arcs = [(0, 0, False)], []
+    for negation, left, reported in states:  # grows as states are reached
+        row = {}
+        for tag in TAGS:
+            counts = tag == opens and not negation and not reported
+            nxt = (
+                REACH if tag == NEGATION else max(negation - 1, 0),
+                REACH if counts else max(left - 1, 0),
+                reported or tag == REPORT,
+            )
+            if nxt not in states:
+                states.append(nxt)
+            row[tag] = (states.index(nxt), frozenset({mark}) if tag == fires and left else frozenset())
+        arcs.append(row)
+    return Transducer(tuple(arcs))
+
+
 def compose(parts: list[Transducer]) -> Transducer:
     """The transducers run side by side, as one with a state for each reachable tuple of theirs and all their marks."""
     index, arcs, todo = {(0,) * len(parts): 0}, [], [(0,) * len(parts)]
     while todo:
         states = todo.pop(0)
         row = {}
-        for tag in range(6):
+        for tag in TAGS:
             steps = [p.step(s, tag) for p, s in zip(parts, states)]
             nxt = tuple(s for s, _ in steps)
             if nxt not in index:
@@ -105,13 +127,11 @@ def compose(parts: list[Transducer]) -> Transducer:
 GRAMMAR = compose(
     [
         single(INSULT, "insult"),
-        near(THREAT, TARGET, "threat"),
         near(TARGET, INSULT, "aimed"),
-        near(INSULT, TARGET, "aimed_after"),
-        near(NEGATION, INSULT, "negated"),
-        near(NEGATION, THREAT, "negated"),
-        after(REPORT, INSULT, "reported"),
-        after(REPORT, TARGET, "reported"),
+        near(NEGATION, INSULT, "excused"),
+        after(REPORT, INSULT, "excused"),
+        unexcused(INSULT, TARGET, "aimed_after"),
+        unexcused(THREAT, TARGET, "threat"),
     ]
 )
 #: Log-weights of the plain features before any label is seen, and how firmly they are held.
@@ -120,19 +140,24 @@ FIRMNESS = np.array([0.01, 1.0, 1.0, 1.0, 1.0, 1.0])
 
 
 def clause_score(tags: list[int], weights: list[float]) -> np.ndarray:
-    """What the grammar finds in one clause: weight of plain, aimed and excused insults, and of threats."""
+    """What the grammar finds in one clause: weight of plain, aimed and excused insults, and of threats.
+
+    An insult is excused if it is negated or reported; it is aimed if a target stands before it or, unless excused,
+    after it. A threat counts at its target, unless the threat word was negated or reported.
+    """
     out, state, last = np.zeros(4), 0, 0.0
     for tag, weight in zip(tags, weights):
         state, marks = GRAMMAR.step(state, tag)
-        excused = "negated" in marks or "reported" in marks
-        if "insult" in marks:
+        if "insult" in marks and "excused" in marks:
+            out[2] += weight
+        elif "insult" in marks:
             last = weight
-            out[2 if excused else 0] += weight
-            if "aimed" in marks and not excused:
+            out[0] += weight
+            if "aimed" in marks:
                 out[1] += weight
         if "aimed_after" in marks:
             out[1] += last
-        if "threat" in marks and not excused:
+        if "threat" in marks:
             out[3] += SEED_WEIGHT
     return out
 
@@ -246,21 +271,30 @@ def fold_sql(column: str = "doc_id") -> str:
     return f"crc32(CAST(coalesce(CAST({column} AS STRING), '') AS BINARY)) % {FOLDS}"
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon_size: int = LEXICON_SIZE
+) -> Model:
     """A model from labelled documents outside the test fold; without any, the seed words and prior weights.
 
-    At most `sample_rows` labelled ids are used, so they may be broadcast. An id with several labels is toxic if one
-    of them says so; null labels are left out.
+    At most `sample_rows` labelled ids are used, so they may be broadcast, and one text of each, the first by its hash:
+    what reaches the driver is bounded by them, however often an id is repeated. An id with several labels is toxic if
+    one of them says so; null labels and null ids are left out. At most `lexicon_size` entries are learned, the surest
+    first; a smaller lexicon costs recall of rare insult words and nothing else.
     """
     sample = (
-        labels.where(f"toxic IS NOT NULL AND {fold_sql()} <> {TEST_FOLD}")
+        labels.where(f"toxic IS NOT NULL AND doc_id IS NOT NULL AND {fold_sql()} <> {TEST_FOLD}")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    texts = materialise(texts.selectExpr("CAST(toxic > 0 AS INT) AS toxic", "coalesce(text, '') AS text"), "labelled")
+    texts = (
+        docs.selectExpr("doc_id", "coalesce(text, '') AS text")
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("toxic"), F.expr("min(struct(xxhash64(text) AS h, text)).text AS text"))
+    )
+    texts = materialise(texts.selectExpr("CAST(toxic > 0 AS INT) AS toxic", "text"), "labelled")
     n_toxic, n_all = texts.agg(F.sum("toxic"), F.count("*")).first()
     n_toxic, n_other = n_toxic or 0, (n_all or 0) - (n_toxic or 0)
     model = Model()
@@ -280,7 +314,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         table.selectExpr("entry", f"{evidence} AS evidence", f"{weight} AS weight")
         .where(f"evidence >= {LEAST_EVIDENCE} AND weight > 3")
         .orderBy(F.desc("evidence"), "entry")
-        .limit(LEXICON_SIZE)
+        .limit(lexicon_size)
         .collect()
     )
     for row in learned:

@@ -382,6 +382,53 @@ def test_grammar_composes_its_transducers():
     assert found("such scum are you")[1]
 
 
+def plain_clause_score(tags, weights):
+    """The grammar's rules, read off the clause word by word."""
+    out = [0.0] * 4
+    free = lambda i: toxicity.NEGATION not in tags[max(0, i - 3) : i] and toxicity.REPORT not in tags[:i]
+    for i, tag in enumerate(tags):
+        near_ = range(max(0, i - 3), i)
+        if tag == toxicity.INSULT:
+            out[0 if free(i) else 2] += weights[i]
+            out[1] += weights[i] * (free(i) and any(tags[j] == toxicity.TARGET for j in near_))
+        if tag == toxicity.TARGET:
+            insults = [j for j in near_ if tags[j] == toxicity.INSULT and free(j)]
+            out[1] += weights[insults[-1]] if insults else 0
+            out[3] += toxicity.SEED_WEIGHT * any(tags[j] == toxicity.THREAT and free(j) for j in near_)
+    return out
+
+
+def test_grammar_equals_its_rules_on_random_clauses():
+    r = random.Random(8)
+    for _ in range(3000):
+        tags = [r.choice(toxicity.TAGS) for _ in range(r.randint(0, 12))]
+        weights = [r.randint(1, 9) if t == toxicity.INSULT else 0.0 for t in tags]
+        assert toxicity.clause_score(tags, weights).tolist() == plain_clause_score(tags, weights), tags
+    model = toxicity.Model()
+
+    def found(sentence_):
+        tagged = [model.tag(t) for t in sentence_.split()]
+        return toxicity.clause_score([t for t, _ in tagged], [w for _, w in tagged])
+
+    assert not found("not an idiot are you")[:2].any() and not found("he wrote that scum like you")[:2].any()
+    assert not found("she said he will kill you").any() and found("never mind but we will soon kill you")[3]
+
+
+def test_toxicity_takes_null_repeated_and_contradictory_labels(spark, prose):
+    _, sentence = prose
+    rows = [(i, sentence(20) + (" zorgl zorgl" if i % 4 == 0 else ""), "s") for i in range(200)]
+    docs = make(spark, rows + [(None, sentence(9), "s")] + [(8, sentence(9) + f" {k}", "s") for k in range(300)])
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(200)] + [(i, None, None) for i in range(9)] + [(None, 1, 1)]
+    labels += [(4, 1, 0), (4, 1, 0), (8, 0, 1)]
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = toxicity.score_toxicity(docs, table).collect()
+    assert len(got) == 501 and all(0 <= r.score <= 1 for r in got)
+    toxic = {i for i in range(200) if i % 4 == 0} - {8}
+    assert all(r.predicted == (r.doc_id in toxic) for r in got if r.doc_id is not None and r.doc_id != 8)
+    # one text of an id is learned from, however many rows it has
+    assert toxicity.train(docs, table, sample_rows=50).words.keys() <= {"zorgl"}
+
+
 def test_toxicity_learns_unknown_words_and_leaves_clean_texts(spark, prose):
     r, sentence = prose
     rows, labels = [], []
@@ -441,6 +488,40 @@ def test_leaks_equal_brute_force(spark, prose):
     assert len(got) >= 13
 
 
+def test_changed_leaks_short_items_and_equal_items_equal_brute_force(spark):
+    r = random.Random(11)
+    vocabulary = ["".join(r.choice("abcdeilnorstu") for _ in range(r.randint(2, 8))) for _ in range(60)]
+    sentence = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    items = [(k, sentence(r.randint(5, 40))) for k in range(60)] + [(100 + k, sentence(k)) for k in (1, 2, 3, 4)]
+    items += [(200, items[7][1]), (201, items[62][1])]
+    rows = []
+    for i in range(240):
+        passage = list(items[i % 60][1])
+        for _ in range(r.choice((0, 1, 1, 2))):
+            place = r.randrange(len(passage))
+            passage[place : place + r.randint(0, 1)] = r.choice(([], ["new"], ["two", "new"]))
+        cut = r.randint(0, 3)
+        w = sentence(r.randint(0, 30)) + passage[cut:] + sentence(r.randint(0, 30))
+        rows.append((i, " ".join(w), "s"))
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id bigint, text string")
+    got = {(x.doc_id, x.item_id): (x.start, x.similarity) for x in leaks.find_leaks(make(spark, rows), table).collect()}
+    weigh = lambda s: sum(len("".join(x)) for x in s)
+    grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    expected = {}
+    for i, t, _ in rows:
+        w = words(t)
+        for k, item in items:
+            n, size = len(item), min(5, len(item))
+            want = grams(item, size)
+            for start in range(max(1, len(w) - n + 1)):
+                have = grams(w[start : start + n], size)
+                s = weigh(have & want) / max(weigh(have | want), 1)
+                if s >= (0.8 if n > 4 else 1) and s > expected.get((i, k), (0, 0))[1]:
+                    expected[i, k] = (start, s)
+    assert got.keys() == expected.keys() and len(got) > 240
+    assert all(got[k][0] == expected[k][0] and math.isclose(got[k][1], expected[k][1]) for k in got)
+
+
 def test_leak_radius_leaves_out_no_more_than_one_pair_in_100_000_at_the_threshold():
     p = 9.7 / 64
     assert sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(leaks.RADIUS + 1, 65)) < 1e-5
