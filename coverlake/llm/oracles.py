@@ -5,7 +5,7 @@ The URL filter, the toxicity score and the language model are learned, so no SQL
 
 from __future__ import annotations
 
-from coverlake.llm import leaks, licenses, lines, lm, mixing, quality
+from coverlake.llm import leaks, licenses, lines, lm, mixing, negatives, quality, trie
 from coverlake.llm.near import SHINGLE_WORDS
 from coverlake.llm.text import UPPER
 
@@ -193,15 +193,19 @@ FROM (FROM m UNION ALL
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n_words) = 1
 """
 
-_FOLD = f"""CAST(xor(list_reduce(
-    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+def crc32(column: str) -> str:
+    """The unsigned CRC-32 of a number's decimal digits, bit by bit."""
+    return f"""xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
     lambda crc, byte: list_reduce(
         list_prepend(xor(crc, byte), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
         lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)),
-    CAST(4294967295 AS BIGINT)) % {lm.FOLDS} AS INTEGER)"""
+    CAST(4294967295 AS BIGINT))"""
+
+
 LM_BASE = rf"""
 WITH d AS (
-  SELECT row_number() OVER () AS k, doc_id, {_FOLD} AS fold,
+  SELECT row_number() OVER () AS k, doc_id, CAST({crc32('doc_id')} % {lm.FOLDS} AS INTEGER) AS fold,
          list_append(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+'), ' ') AS w
   FROM documents),
 t AS (SELECT k, fold, unnest(w) AS token FROM d),
@@ -215,6 +219,54 @@ SELECT doc_id, fold = {lm.TEST_FOLD} AS held_out, n_tokens, n_known, n AS train_
 FROM d JOIN s USING (k), n
 """
 
+TRIE = rf"""
+WITH w AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, CAST({crc32('conv_id')} % {trie.SHARED_TURNS} AS INTEGER) AS h, conv_id - conv_id % {trie.GROUP} AS g FROM w),
+c AS (
+  SELECT h.conv_id, list_concat(coalesce(f.turns, [])[1 : h.h], h.turns[h.h + 1 :]) AS turns
+  FROM h LEFT JOIN w f ON f.conv_id = h.g),
+p AS (SELECT conv_id, len(turns) AS n, d AS depth, turns[1 : d] AS path FROM c, unnest(range(0, len(turns) + 1)) AS r(d)),
+t AS MATERIALIZED (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN depth > 0 THEN (count(*) - 1) * len(regexp_extract_all(path[depth].text, '[^ 	-
+]+')) ELSE 0 END AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM p GROUP BY path, depth),
+k AS (SELECT path[1 : depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM t WHERE depth > 0 GROUP BY 1, 2),
+u AS (SELECT t.*, coalesce(k.n, 0) AS n_children FROM t LEFT JOIN k USING (path, depth)),
+a AS (
+  SELECT path[1 : d] AS path, d AS depth, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM u, unnest(range(0, depth + 1)) AS r(d) GROUP BY 1, 2)
+SELECT u.conv_id, u.depth, parent.conv_id AS parent_conv_id, u.n_convs, u.n_children, a.n_leaves,
+       CAST(a.saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u JOIN a USING (path, depth)
+LEFT JOIN t parent ON u.depth > 0 AND parent.depth = u.depth - 1 AND parent.path = u.path[1 : u.depth - 1]
+"""
+
+NEGATIVES = rf"""
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % {negatives.RELABEL_EVERY} = 0 THEN (label + 1) % {negatives.LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({negatives.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.k AS a, a.vec_id AS anchor_id, b.k AS b, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % {negatives.ANCHOR_EVERY} = 0 AND a.k <> b.k),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s WHERE same
+  QUALIFY place <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.same
+  AND {negatives.LOW_PERCENT} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.HIGH_PERCENT} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
     "op4_chat_formatting": CHAT,
@@ -224,4 +276,6 @@ ORACLES: dict[str, str] = {
     "op8_license_scans": LICENSES,
     "lm_scoring_base": LM_BASE,
     "op10_benchmark_decontamination": LEAKS,
+    "op12_conversation_prefix_trie": TRIE,
+    "op13_hard_negative_mining": NEGATIVES,
 }

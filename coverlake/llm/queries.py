@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators: each one over its whole table."""
+"""The registered queries of the training-data operators: each one over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlake.llm import chat, leaks, licenses, lines, lm, mixing, near, quality, toxicity, urls
+from coverlake.llm import chat, leaks, licenses, lines, lm, mixing, near, negatives, quality, simhash, toxicity, trie, urls
 from coverlake.llm.text import table
 
 
@@ -77,6 +77,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.drop("text_hash")
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -89,4 +101,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "lm_scoring_base": lm_scoring_base,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_hard_negative_mining": op13_hard_negative_mining,
 }
