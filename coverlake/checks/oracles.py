@@ -406,7 +406,16 @@ CLAIM_URI = "concat('gs://lake/bronze/inbound/claims/year=2026/month=05/day=14/'
 MONTHLY_PREMIUMS = f"""SELECT * REPLACE (CAST(date_trunc('month', CAST(due_date AS DATE)) AS DATE) AS _business_date)
 FROM ({raw_sql('premiums')}) AS m"""
 
+LARGE_SUMS = """
+WITH c AS (SELECT event_type, event_id % 2 AS odd, CAST(CAST(value AS DECIMAL(12, 2)) * 100 AS BIGINT) AS cents FROM events)
+SELECT event_type, odd, CAST(CASE WHEN odd = 0 THEN 3 * count(cents) ELSE 2 * count(cents) END AS BIGINT) AS amounts,
+       CASE WHEN odd = 0 THEN CAST(CAST(sum(cents) AS DECIMAL(30, 0)) / 1000000 AS DOUBLE)
+            ELSE CAST(concat(CAST(sum(cents) AS VARCHAR), 'E20') AS DOUBLE) END AS total
+FROM c GROUP BY event_type, odd
+"""
+
 ORACLES: dict[str, str] = {
+    "large_sums": LARGE_SUMS,
     **{f"silver_{e}": f"SELECT * EXCLUDE (_ord) FROM ({silver(e)}) AS s" for e in KEYS},
     **GOLD,
     **{

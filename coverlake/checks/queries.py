@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from coverlake.checks import inputs
 from coverlake.functions import names
+from coverlake.functions.exact import grouped_sums
 from coverlake.operators import arrival, audit, checksum, gate, gold, ledger, silver
 from coverlake.plans.ingest import folder_of, ingest_directory
 from coverlake.plans.layout import Lake
@@ -214,6 +215,18 @@ def checksum_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksum.checksum_report(sidecars, digests)
 
 
+def large_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts from 1e-6 to beyond 1e25 in one group; of even events the large ones cancel out."""
+    amounts = table(spark, sf_dir, "events").selectExpr(
+        "event_type", "event_id % 2 AS odd", "CAST(CAST(value AS DECIMAL(12, 2)) * 100 AS BIGINT) AS cents"
+    ).selectExpr(
+        "event_type", "odd",
+        "explode(array(cents * 1e20D, CASE WHEN odd = 0 THEN cents * -1e20D END, CAST(CAST(cents AS DECIMAL(20, 0)) / 1000000 AS DOUBLE)))"
+        " AS amount",
+    )
+    return grouped_sums(amounts, ["event_type", "odd"], {"total": "amount"}, {"amounts": F.count("amount")})
+
+
 def _claim_verdicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     stats = gate.file_stats(raw_sample(spark, sf_dir, "claims"), REGISTRY["claims"]).withColumnRenamed(
         "source_file", "file_name"
@@ -390,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": duplicate_keys,
     "gate_files": gate_files,
     "routed_rows": routed_rows,
+    "large_sums": large_sums,
     "parse_failures": parse_failures,
     "dedup_dropped": dedup_dropped,
     "expected_files": expected_files,

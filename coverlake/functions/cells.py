@@ -6,6 +6,8 @@ hundreds. Use the result with `F.expr` or `selectExpr`.
 
 from __future__ import annotations
 
+from coverlake.functions import exact
+
 # Whole-cell tokens that silver turns into null (case-sensitive, untrimmed).
 SILVER_NULL_TOKENS = ["", "None", "nan", "NaN", "NULL"]
 
@@ -131,12 +133,8 @@ def is_value(value: str, wanted: str) -> str:
 
 
 def exact_sum(value: str) -> str:
-    """Order-independent sum of a money column, 0 for an all-null group.
-
-    Adding doubles gives another last digit for every task order, so amounts are added as decimals with eight places.
-    Amounts of 1e30 and more do not fit and stop the job rather than fall out of the sum.
-    """
-    return f"coalesce(CAST(sum(CAST({value} AS DECIMAL(38, 8))) AS DOUBLE), 0D)"
+    """Order-independent sum of a money column to eight places, 0 for an all-null group; no amount stops it."""
+    return exact.exact_sum(value)
 
 
 def exact_mean(ratio: str, digits: int) -> str:

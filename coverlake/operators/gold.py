@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.functions import cells, keys
+from coverlake.functions.exact import grouped_sums
 from coverlake.operators.dedup import one_per_key
 from coverlake.operators.silver import BUSINESS_DATE
 from coverlake.sources.raw_csv import ROW_ORDER
@@ -100,15 +101,11 @@ def agg_daily_premium_summary(premiums: DataFrame, day: date) -> DataFrame:
     The distinct count makes Spark group by (status, currency, policy) first, so the few large groups are spread by
     policy before the last small step.
     """
-    grouped = (
-        numbers(premiums, "amount_due", "amount_paid")
-        .groupBy("status", "currency")
-        .agg(
-            F.count_distinct("policy_id").alias("policy_count"),
-            F.count("premium_id").alias("premium_count"),
-            F.expr(cells.exact_sum("amount_due")).alias("total_amount_due"),
-            F.expr(cells.exact_sum("amount_paid")).alias("total_amount_paid"),
-        )
+    grouped = grouped_sums(
+        numbers(premiums, "amount_due", "amount_paid").select("status", "currency", "policy_id", "premium_id", "amount_due", "amount_paid"),
+        ["status", "currency"],
+        {"total_amount_due": "amount_due", "total_amount_paid": "amount_paid"},
+        {"policy_count": F.count_distinct("policy_id"), "premium_count": F.count("premium_id")},
     )
     return grouped.selectExpr(
         "*",
@@ -121,32 +118,30 @@ def agg_daily_premium_summary(premiums: DataFrame, day: date) -> DataFrame:
 def agg_claim_by_status(claims: DataFrame, day: date) -> DataFrame:
     is_text = dict(claims.dtypes)["fraud_flag"] == "string"
     fraud = "lower(fraud_flag) = 'true'" if is_text else "fraud_flag"
-    return (
-        numbers(claims, "claimed_amount", "approved_amount", "days_to_report")
-        .groupBy("claim_type", "status")
-        .agg(
-            F.count("claim_id").alias("claim_count"),
-            F.expr(cells.exact_sum("claimed_amount")).alias("total_claimed_eur"),
-            F.expr(cells.exact_sum("approved_amount")).alias("total_approved_eur"),
-            F.expr("bround(avg(days_to_report), 1)").alias("avg_days_to_report"),
-            F.expr(f"count_if({fraud})").alias("fraud_count"),
-        )
-        .selectExpr("*", f"DATE '{day}' AS business_date")
-    )
+    columns = ["claim_type", "status", "claim_id", "claimed_amount", "approved_amount", "days_to_report", "fraud_flag"]
+    return grouped_sums(
+        numbers(claims, "claimed_amount", "approved_amount", "days_to_report").select(*columns),
+        ["claim_type", "status"],
+        {"total_claimed_eur": "claimed_amount", "total_approved_eur": "approved_amount"},
+        {
+            "claim_count": F.count("claim_id"),
+            "avg_days_to_report": F.expr("bround(avg(days_to_report), 1)"),
+            "fraud_count": F.expr(f"count_if({fraud})"),
+        },
+    ).selectExpr("*", f"DATE '{day}' AS business_date")
 
 
 def agg_reinsurer_exposure(reinsurance: DataFrame, day: date) -> DataFrame:
     money = ["ceded_premium", "ceded_liability", "retained_liability", "recovered_amount", "recovery_ratio"]
-    return (
-        numbers(reinsurance, *money)
-        .groupBy("reinsurer_id", "reinsurer_name", "treaty_type", "currency")
-        .agg(
-            F.count("ri_record_id").alias("cession_count"),
-            F.expr(cells.exact_sum("ceded_premium")).alias("total_ceded_premium_eur"),
-            F.expr(cells.exact_sum("ceded_liability")).alias("total_ceded_liability_eur"),
-            F.expr(cells.exact_sum("retained_liability")).alias("total_retained_liability"),
-            F.expr(cells.exact_sum("recovered_amount")).alias("total_recovered_eur"),
-            F.expr(cells.exact_mean("recovery_ratio", 4)).alias("avg_recovery_ratio"),
-        )
-        .selectExpr("*", f"DATE '{day}' AS business_date")
-    )
+    keys_ = ["reinsurer_id", "reinsurer_name", "treaty_type", "currency"]
+    return grouped_sums(
+        numbers(reinsurance, *money).select(*keys_, "ri_record_id", *money),
+        keys_,
+        {
+            "total_ceded_premium_eur": "ceded_premium",
+            "total_ceded_liability_eur": "ceded_liability",
+            "total_retained_liability": "retained_liability",
+            "total_recovered_eur": "recovered_amount",
+        },
+        {"cession_count": F.count("ri_record_id"), "avg_recovery_ratio": F.expr(cells.exact_mean("recovery_ratio", 4))},
+    ).selectExpr("*", f"DATE '{day}' AS business_date")

@@ -1,11 +1,15 @@
 """Parsing, bounds, hashes and rounding on single cells."""
 
+import math
+import random
 from datetime import date
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from coverlake.functions import cells, keys, names
+from coverlake.functions import cells, exact, keys, names
 
 
 def evaluate(spark, expression, values):
@@ -64,6 +68,27 @@ def test_sums_are_whole_and_repeatable(spark):
     assert spark.sql("SELECT bround(2.25D, 1)").first()[0] == 2.2
 
 
+def test_sums_of_any_size_are_rounded_once_whatever_the_order(spark):
+    r = random.Random(1)
+    rows = [(None, None), (99, None), (98, float("inf")), (98, 1.0), (97, float("inf")), (97, float("-inf"))]
+    for g in range(60):
+        for _ in range(r.randint(1, 30)):
+            v = (
+                r.choice((-1, 1)) * r.random() * 10.0 ** r.randint(-300, 307) if g % 3 == 0
+                else round(r.uniform(-1e6, 1e6), r.randint(0, 8)) if g % 3 == 1
+                else r.uniform(-1, 1) * 10.0 ** r.randint(10, 40)
+            )
+            rows += [(g, v), (g, -v)] if r.random() < 0.3 else [(g, v)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    got = {x.g: x for x in exact.grouped_sums(df, ["g"], {"s": "v"}, {"n": F.count("v")}).collect()}
+    alone = {x.g: x.s for x in df.groupBy("g").agg(F.expr(cells.exact_sum("v")).alias("s")).collect()}
+    for g in range(60):
+        amounts = [Decimal(repr(v)) for k, v in rows if k == g]
+        whole = sum(Fraction(a if abs(a) >= 10**15 else a.quantize(Decimal("1e-8"), "ROUND_HALF_UP")) for a in amounts)
+        assert got[g].s == float(whole) == alone[g] and got[g].n == len(amounts)
+    assert (got[None].s, got[99].s, got[99].n, got[98].s) == (0.0, 0.0, 0, float("inf")) and math.isnan(got[97].s)
+
+
 def test_names_and_paths(spark):
     row = spark.sql("SELECT DATE '2026-05-04' AS d, 'lake/bronze/in/p/year=2026/month=05/day=04/f.csv' AS p").select(
         names.expected_name(F.lit("policies_%Y%m%d.csv.gpg"), F.col("d")).alias("name"),
