@@ -416,10 +416,15 @@ FROM c GROUP BY event_type, odd
 
 ORACLES: dict[str, str] = {
     "large_sums": LARGE_SUMS,
+    "violation_positions": f"""WITH raw AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY _ord) - 1 AS _rn
+  FROM (SELECT * EXCLUDE (_source_file), strftime(_business_date, '%Y%m') AS _source_file FROM ({raw_sql('claims')}) AS m)),
+failed AS MATERIALIZED ({failures('claims')})
+SELECT source_file, _rn AS row_number, row_key, column_name, check_name, failure_value FROM failed""",
     **{f"silver_{e}": f"SELECT * EXCLUDE (_ord) FROM ({silver(e)}) AS s" for e in KEYS},
     **GOLD,
     **{
-        f"violations_{e}": f"WITH {gate_ctes(e)} SELECT source_file, row_key, column_name, check_name, failure_value FROM failed"
+        f"violations_{e}": f"WITH {gate_ctes(e)} SELECT source_file, CAST(NULL AS BIGINT) AS row_number, row_key, column_name, check_name, failure_value FROM failed"
         for e in KEYS
     },
     "file_stats": ALL_STATS,

@@ -375,6 +375,30 @@ def landed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_files(spark, files).select(*LANDED_CELLS, month_of)
 
 
+def violation_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of monthly claim files, each with the position of its row in the file."""
+    written = scratch_dir(spark, "positions")
+    month = F.date_format("_business_date", "yyyyMM")
+    (
+        raw_sample(spark, sf_dir, "claims")
+        .withColumn("month", month)
+        .drop("_business_date", "_source_file")
+        .repartition("month")
+        .sortWithinPartitions("month", "_ord")
+        .drop("_ord")
+        .write.partitionBy("month")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(written)
+    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(written)
+    rows = read_csv_files(spark, files.select("path", "length"))
+    month_of = F.regexp_extract("source_file", "month=([0-9]+)", 1)
+    return gate.violations(rows, REGISTRY["claims"]).withColumn("source_file", month_of)
+
+
 def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw claims through the CSV layer: dates found and rows read back per date."""
     lake = Lake(scratch_dir(spark, "bronze"))
@@ -429,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "partition_replace": partition_replace,
     "truncate_load": truncated_load,
     "backfill_silver": backfill_silver,
+    "violation_positions": violation_positions,
     "bronze_partitions": bronze_partitions,
     "landed_cells": landed_cells,
     "stream_incremental_silver": stream_incremental_silver,

@@ -6,11 +6,11 @@ is only subject to the not-null test.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlake.functions import cells
-from coverlake.sources.raw_csv import COLUMNS, OVERFLOW, SOURCE_FILE
+from coverlake.sources.raw_csv import BLOCK_START, COLUMNS, OVERFLOW, ROW_ID, SOURCE_FILE
 from coverlake.specs import EntitySpec
 
 MISSING_COLUMN = "column_in_dataframe"
@@ -19,10 +19,9 @@ COERCION = "coerce_dtype"
 UNIQUE = "field_uniqueness"
 TOO_MANY_CELLS = "too_many_cells"
 
-VIOLATION_COLUMNS = ["source_file", "row_key", "column_name", "check_name", "failure_value"]
-
-# Rows one task writes out at most for one repeated key before another task takes over.
-REPEAT_CHUNK = 10_000
+VIOLATION_COLUMNS = ["source_file", "row_number", "row_key", "column_name", "check_name", "failure_value"]
+# Where a row was read: the start of its split and its number among the rows read.
+PLACE = [BLOCK_START, ROW_ID]
 
 
 def strict_int(text: str) -> str:
@@ -78,29 +77,61 @@ def _carried(rows: DataFrame, source: str) -> list[str]:
     return [source] + [c for c in (COLUMNS, OVERFLOW) if c in rows.columns]
 
 
+def split_starts(rows: DataFrame, source: str = SOURCE_FILE) -> DataFrame:
+    """Of each split of each file: its first row's number, and how many rows of the file stand before it.
+
+    A split knows no row numbers of its file, but its rows are read in order. They are counted per split, and a running
+    sum over the few splits of a file gives every split its start; a record over several lines is one row.
+    """
+    splits = rows.groupBy(F.col(source).alias("split_file"), F.col(BLOCK_START).alias("split_start")).agg(
+        F.min(ROW_ID).alias("first_id"), F.count(F.lit(1)).alias("n")
+    )
+    before = Window.partitionBy("split_file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select(
+        "split_file", "split_start", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before")
+    )
+
+
+def _with_row_numbers(found: DataFrame, rows: DataFrame, source: str) -> DataFrame:
+    """Failures with the position of their row in its file, from 0; only failing rows meet the table of splits."""
+    if BLOCK_START not in found.columns:
+        return found.withColumn("row_number", F.lit(None).cast("bigint")).select(*VIOLATION_COLUMNS)
+    starts = split_starts(rows, source)
+    on_split = found.source_file.eqNullSafe(starts.split_file) & found[BLOCK_START].eqNullSafe(starts.split_start)
+    number = F.col(ROW_ID) - F.col("first_id") + F.col("rows_before")
+    return found.join(starts, on_split, "left").withColumn("row_number", number).select(*VIOLATION_COLUMNS)
+
+
+def _places(rows: DataFrame) -> list[str]:
+    return PLACE if all(c in rows.columns for c in PLACE) else []
+
+
 def value_violations(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE) -> DataFrame:
-    """One row per failed test of a row.
+    """One row per failed test of a row, with the row's position in its file where the scan has given its place.
 
     Only failing rows build the list of failures. The outer explode keeps the test on its result: a filter below it
     would be pushed through the projections and repeat every parse.
     """
-    view = gate_view(rows, spec, _carried(rows, source))
+    places = _places(rows)
+    view = gate_view(rows, spec, _carried(rows, source) + places)
     tests = row_tests(spec, view.columns)
     failures = ", ".join(
         f"CASE WHEN {failing} THEN named_struct('column_name', '{name}', 'check_name', {cells.quoted(check)}, "
         f"'failure_value', {name}) END"
         for name, check, failing in tests
     )
-    return (
+    found = (
         view.selectExpr(
             f"{source} AS source_file",
+            *places,
             f"{spec.key} AS row_key",
             f"CASE WHEN {_any_failing(tests)} THEN array_compact(array({failures})) END AS failures",
         )
-        .select("source_file", "row_key", F.explode_outer("failures").alias("failure"))
+        .select("source_file", *places, "row_key", F.explode_outer("failures").alias("failure"))
         .where("failure IS NOT NULL")
-        .select("source_file", "row_key", "failure.*")
+        .select("source_file", *places, "row_key", "failure.*")
     )
+    return _with_row_numbers(found, rows, source)
 
 
 def duplicate_keys(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE) -> DataFrame:
@@ -117,23 +148,18 @@ def duplicate_keys(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE)
 def uniqueness_violations(rows: DataFrame, spec: EntitySpec, source: str = SOURCE_FILE) -> DataFrame:
     """One row per row whose key repeats in its file.
 
-    A pre-aggregated count says how often to write each key, so the rows are not read again. A key that fills a large
-    part of a file is written in chunks by many tasks.
+    The repeated keys come from pre-aggregated counts; their rows are then found by a join, which AQE does by broadcast
+    or splits where one key fills a large part of a file.
     """
-    chunks = duplicate_keys(rows, spec, source).selectExpr(
-        "*", f"explode(sequence(0L, (n - 1) DIV {REPEAT_CHUNK})) AS chunk"
-    )
-    spread = chunks.repartition("source_file", "key_value", "chunk")
-    repeats = spread.withColumn(
-        "_repeat", F.expr(f"explode(sequence(1L, least({REPEAT_CHUNK}L, n - chunk * {REPEAT_CHUNK})))")
+    repeated = duplicate_keys(rows, spec, source).select(
+        F.col("source_file").alias("file"), F.col("key_value").alias("repeated")
     )
-    return repeats.select(
-        "source_file",
-        F.col("key_value").alias("row_key"),
-        F.lit(spec.key).alias("column_name"),
-        F.lit(UNIQUE).alias("check_name"),
-        F.col("key_value").alias("failure_value"),
+    keyed = rows.selectExpr(f"{source} AS source_file", *_places(rows), f"{_text(spec.key)} AS row_key")
+    same = keyed.source_file.eqNullSafe(repeated.file) & (keyed.row_key == repeated.repeated)
+    found = keyed.join(repeated, same, "left_semi").withColumns(
+        {"column_name": F.lit(spec.key), "check_name": F.lit(UNIQUE), "failure_value": F.col("row_key")}
     )
+    return _with_row_numbers(found, rows, source)
 
 
 def missing_columns(headers: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -141,6 +167,7 @@ def missing_columns(headers: DataFrame, spec: EntitySpec) -> DataFrame:
     lacking = F.array_except(F.expr(f"array({cells.listed(spec.required)})"), F.col("columns"))
     return headers.where(F.col("columns").isNotNull()).select(
         "source_file",
+        F.lit(None).cast("bigint").alias("row_number"),
         F.lit(None).cast("string").alias("row_key"),
         F.explode(lacking).alias("column_name"),
         F.lit(MISSING_COLUMN).alias("check_name"),
@@ -152,6 +179,7 @@ def fault_violations(faults: DataFrame) -> DataFrame:
     """One row per file that could not be read; `faults` has source_file and fault (`check: detail`)."""
     return faults.select(
         "source_file",
+        F.lit(None).cast("bigint").alias("row_number"),
         F.lit(None).cast("string").alias("row_key"),
         F.lit(None).cast("string").alias("column_name"),
         F.substring_index("fault", ":", 1).alias("check_name"),

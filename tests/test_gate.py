@@ -1,10 +1,13 @@
 """The gate: one bad value rejects the file, every failure is listed."""
 
+import csv
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import CLAIMS, POLICIES, PREMIUMS, REINSURANCE, ROWS
 from coverlake.operators import gate
+from coverlake.sources.raw_csv import read_csv_files
 from coverlake.specs import REGISTRY
 
 BAD = [
@@ -69,3 +72,44 @@ def test_repeated_keys_are_listed_once_per_row(spark, raw, copies):
     assert [tuple(r) for r in summary] == [("claims_20260514.csv", "CLM-20260001", "claim_id", "field_uniqueness", copies)]
     accepted, rejected = gate.split_by_verdict(frame.unionByName(other), gate.file_stats(frame.unionByName(other), REGISTRY["claims"]))
     assert (accepted.count(), rejected.count()) == (1, copies)
+
+
+def test_failures_carry_the_position_a_plain_reader_counts(spark, tmp_path):
+    """Files of many splits, with blank lines and quoted line breaks, rows without a key and repeated keys."""
+    wanted = []
+    for name, break_lines in (("claims_a.csv", False), ("claims_b.csv", True)):
+        lines = [",".join(CLAIMS[0])]
+        for i in range(900):
+            row = dict(CLAIMS[0], claim_id=f"CLM-{i:08d}")
+            if i % 97 == 5:
+                row["claim_id"] = ""
+            if i % 101 == 7:
+                row["status"] = "NOWHERE"
+            if i in (300, 800):
+                row["claim_id"] = "CLM-99999999"
+            if break_lines and i % 50 == 0:
+                row["claimant_name"] = '"two\nlines"'
+            lines.append(",".join(row.values()))
+            if i % 40 == 0:
+                lines.append("")
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        with open(tmp_path / name, newline="") as handle:
+            plain = [r for r in csv.DictReader(handle)]
+        for n, r in enumerate(plain):
+            if not r["claim_id"]:
+                wanted.append((name, n, None, "not_nullable"))
+            if r["status"] == "NOWHERE":
+                wanted.append((name, n, r["claim_id"] or None, "isin"))
+            if r["claim_id"] == "CLM-99999999":
+                wanted.append((name, n, r["claim_id"], "field_uniqueness"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+        files = spark.createDataFrame([(f"file:{tmp_path}/{n}", 0) for n in ("claims_a.csv", "claims_b.csv")], "path string, length long")
+        rows = read_csv_files(spark, files)
+        assert rows.select("_source_file", "_block_start").distinct().count() > 10
+        found = gate.violations(rows, REGISTRY["claims"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = [(r.source_file.rpartition("/")[2], r.row_number, r.row_key, r.check_name.split("(")[0]) for r in found]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
