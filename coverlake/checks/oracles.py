@@ -328,7 +328,7 @@ def repeated_keys(entity: str) -> str:
 WHERE {key} NOT IN ({GATE_TOKENS}) GROUP BY ALL HAVING count(*) > 1"""
 
 
-def unparsed(entity: str) -> str:
+def unparsed(entity: str, rows: str | None = None) -> str:
     columns = {
         "policies": [("policy_start_date", day), ("policy_end_date", day), ("premium_amount", number),
                      ("risk_score", number)],
@@ -342,7 +342,7 @@ def unparsed(entity: str) -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{entity}' AS entity, '{c}' AS column_name, "
         f"count(*) FILTER (WHERE {cell(c)} IS NOT NULL AND {parse(c)} IS NULL) AS bad_values "
-        f"FROM ({raw_sql(entity)}) AS m"
+        f"FROM {rows or f'({raw_sql(entity)}) AS m'}"
         for c, parse in columns
     )
 
@@ -416,6 +416,14 @@ FROM c GROUP BY event_type, odd
 
 ORACLES: dict[str, str] = {
     "large_sums": LARGE_SUMS,
+    "silver_metrics": f"""WITH raw AS (
+  SELECT * REPLACE (CASE WHEN claimed_amount LIKE '%7' THEN 'x' ELSE claimed_amount END AS claimed_amount) FROM ({raw_sql('claims')}) AS m),
+twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE status = 'OPEN'),
+bad AS ({unparsed('claims', 'twice')}),
+n AS (SELECT count(*) AS n, (SELECT count(*) FROM raw) AS kept FROM twice)
+SELECT 'bad_values' AS metric, column_name, bad_values AS value FROM bad
+UNION ALL SELECT 'rows_in', NULL, n FROM n UNION ALL SELECT 'rows_kept', NULL, kept FROM n
+UNION ALL SELECT 'rows_dropped', NULL, n - kept FROM n""",
     "violation_positions": f"""WITH raw AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY _ord) - 1 AS _rn
   FROM (SELECT * EXCLUDE (_source_file), strftime(_business_date, '%Y%m') AS _source_file FROM ({raw_sql('claims')}) AS m)),

@@ -328,6 +328,17 @@ def backfill_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_run_columns(spark.read.parquet(f"{lake.silver}/premiums"))
 
 
+def silver_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse failures and dropped rows counted while all claim dates are written, beside no scan of their own."""
+    lake = Lake(scratch_dir(spark, "metrics"))
+    rows = raw_sample(spark, sf_dir, "claims").withColumn("claimed_amount", F.expr("CASE WHEN claimed_amount LIKE '%7' THEN 'x' ELSE claimed_amount END"))
+    twice = rows.unionByName(rows.where("status = 'OPEN'").withColumn("_ord", F.concat("_ord", F.lit("a"))))
+    _write_bronze(twice, lake, "inbound", "claims")
+    silver_backfill(spark, lake, "claims", as_of=SAMPLE_DATE)
+    counted = spark.read.parquet(lake.silver_metrics)
+    return counted.groupBy("metric", "column_name").agg(F.sum("value").alias("value"))
+
+
 def stream_incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily claim files arriving as a stream in several batches."""
     lake = Lake(scratch_dir(spark, "stream"))
@@ -456,5 +467,6 @@ QUERIES: dict[str, Query] = {
     "violation_positions": violation_positions,
     "bronze_partitions": bronze_partitions,
     "landed_cells": landed_cells,
+    "silver_metrics": silver_metrics,
     "stream_incremental_silver": stream_incremental_silver,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from coverlake.functions import cells, keys
@@ -13,6 +14,8 @@ from coverlake.sources.raw_csv import COLUMNS, OVERFLOW, PATH, ROW_ORDER, SOURCE
 from coverlake.specs import EntitySpec
 
 BUSINESS_DATE = "_business_date"
+UNPARSED = "_unparsed"
+ROWS_IN, ROWS_KEPT = "rows_in", "rows_kept"
 
 PARSERS = {"date": cells.to_date, "double": cells.to_double, "int": cells.to_int, "bool": cells.to_bool}
 
@@ -32,15 +35,32 @@ def _parsed(spec: EntitySpec, name: str, kind: str) -> str:
     return cells.upper_strip(cell) if name in spec.upper else cell
 
 
-def normalise(rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Null tokens, trimmed upper-case codes and typed values in one projection; extra columns stay text."""
+def _parsed_columns(rows: DataFrame, spec: EntitySpec) -> dict[str, str]:
+    """Columns that are parsed from text, with their kind."""
+    return {f.name: f.kind for f in spec.fields if f.kind in ("date", "double", "int") and f.name in rows.columns}
+
+
+def _unparsed(name: str, kind: str) -> str:
+    """Whether a cell holds something that did not parse. The parse stands first, so that Spark shares it with the
+    column itself."""
+    cell = cells.column(name)
+    return f"({PARSERS[kind](cell)}) IS NULL AND {cells.null_tokens(cell)} IS NOT NULL"
+
+
+def normalise(rows: DataFrame, spec: EntitySpec, flagged: bool = False) -> DataFrame:
+    """Null tokens, trimmed upper-case codes and typed values in one projection; extra columns stay text.
+
+    When flagged, `_unparsed` has a bit set for each parsed column whose cell did not parse.
+    """
     _check_columns(rows, spec)
     kinds = {f.name: f.kind for f in spec.fields}
     extras = [c for c in rows.columns if not c.startswith("_") and c not in kinds]
     ordered = [c for c in spec.columns if c in rows.columns] + extras
     carried = [c for c in rows.columns if c.startswith("_") and c not in (COLUMNS, OVERFLOW, PATH)]
     typed = [f"{_parsed(spec, c, kinds.get(c, 'text'))} AS {cells.column(c)}" for c in ordered]
-    return rows.selectExpr(*typed, *[cells.column(c) for c in carried])
+    flags = [f"CASE WHEN {_unparsed(c, kind)} THEN {1 << k}L ELSE 0L END" for k, (c, kind) in enumerate(_parsed_columns(rows, spec).items())]
+    flag = [f"{' | '.join(flags)} AS {UNPARSED}"] if flagged else []
+    return rows.selectExpr(*typed, *[cells.column(c) for c in carried], *flag)
 
 
 def derive(rows: DataFrame, spec: EntitySpec, as_of: date) -> DataFrame:
@@ -54,25 +74,47 @@ def derive(rows: DataFrame, spec: EntitySpec, as_of: date) -> DataFrame:
     return bounded.withColumns(columns)
 
 
-def to_silver(rows: DataFrame, spec: EntitySpec, as_of: date, order: list[str] = ROW_ORDER) -> DataFrame:
+@dataclass
+class SilverMetrics:
+    """What a silver write sees on its way: cells that did not parse, rows read and rows kept. Known once it has run.
+
+    Tasks that run twice after a lost executor count twice.
+    """
+
+    spec: EntitySpec
+    read: Observation = field(default_factory=Observation)
+    kept: Observation = field(default_factory=Observation)
+
+    def rows(self) -> list[dict]:
+        """(metric, column_name, value); what a job without rows has not observed is 0."""
+        counts = {**self.read.get, **self.kept.get}
+        parsed = [f.name for f in self.spec.fields if f"{UNPARSED}_{f.name}" in counts]
+        rows = [{"metric": "bad_values", "column_name": c, "value": counts[f"{UNPARSED}_{c}"] or 0} for c in parsed]
+        rows_in, rows_kept = counts.get(ROWS_IN) or 0, counts.get(ROWS_KEPT) or 0
+        whole = {ROWS_IN: rows_in, ROWS_KEPT: rows_kept, "rows_dropped": rows_in - rows_kept}
+        return rows + [{"metric": name, "column_name": None, "value": value} for name, value in whole.items()]
+
+
+def to_silver(
+    rows: DataFrame, spec: EntitySpec, as_of: date, order: list[str] = ROW_ORDER, metrics: SilverMetrics | None = None
+) -> DataFrame:
     """Silver rows of any number of files and dates: one narrow projection, one shuffle, one narrow projection.
 
-    Raw rows carry `_business_date` and the order columns; the last row of a key within a date wins.
+    Raw rows carry `_business_date` and the order columns; the last row of a key within a date wins. With `metrics`,
+    failures and rows are counted as they pass.
     """
-    typed = normalise(rows, spec)
-    kept = one_per_key(typed, [BUSINESS_DATE, spec.key], order, keep="last")
-    return derive(kept, spec, as_of)
+    typed = normalise(rows, spec, flagged=metrics is not None)
+    if metrics:
+        bad = [F.expr(f"count_if({UNPARSED} & {1 << k}L <> 0)").alias(f"{UNPARSED}_{c}") for k, c in enumerate(_parsed_columns(rows, spec))]
+        typed = typed.observe(metrics.read, F.count(F.lit(1)).alias(ROWS_IN), *bad).drop(UNPARSED)
+    kept = derive(one_per_key(typed, [BUSINESS_DATE, spec.key], order, keep="last"), spec, as_of)
+    return kept.observe(metrics.kept, F.count(F.lit(1)).alias(ROWS_KEPT)) if metrics else kept
 
 
 def parse_failures(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     """Per date or number column: how many non-empty cells did not parse."""
-    typed = {f.name: f.kind for f in spec.fields if f.kind in ("date", "double", "int") and f.name in rows.columns}
-
-    def failed(name: str, kind: str) -> str:
-        cell = cells.column(name)
-        return f"count_if({cells.null_tokens(cell)} IS NOT NULL AND {PARSERS[kind](cell)} IS NULL) AS {cell}"
-
-    counts = rows.agg(*[F.expr(failed(name, kind)) for name, kind in typed.items()])
+    typed = _parsed_columns(rows, spec)
+    counts = rows.agg(*[F.expr(f"count_if({_unparsed(c, kind)})").alias(c) for c, kind in typed.items()])
     return counts.unpivot([], list(typed), "column_name", "bad_values").select(
         F.lit(spec.name).alias("entity"), "column_name", "bad_values"
     )

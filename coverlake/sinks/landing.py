@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverlake.functions import names
-from coverlake.sources.landing import delete_files, path_missing
+from coverlake.sources.landing import delete_files, path_exists
 from coverlake.sources.local import empty_frame, struct
 
 # Days each layer keeps its files.
@@ -51,12 +50,9 @@ def layer_files(spark: SparkSession, root: str, layers: list[str]) -> DataFrame:
     """Files of layers below their date folders: layer, partition_date, path. Contents are not read."""
     found = empty_frame(spark, struct(layer=T.StringType(), partition_date=T.DateType(), path=T.StringType()))
     for layer in layers:
-        try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/{layer}")
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
+        if not path_exists(spark, f"{root}/{layer}"):
             continue
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/{layer}")
         dated = files.select(F.lit(layer).alias("layer"), names.path_date(F.col("path")).alias("partition_date"), "path")
         found = found.unionByName(dated.where("partition_date IS NOT NULL"))
     return found

@@ -11,7 +11,6 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +41,11 @@ RESERVED_COLUMN = "reserved_column"
 LISTING_BATCH = 10_000
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern stands for anything, asked of the filesystem rather than found out by a failed query."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
 
 
 def _filesystem(path: str):
@@ -101,12 +103,9 @@ def expected_digest(text: Column) -> Column:
 def read_sidecars(spark: SparkSession, path: str, suffix: str = names.SIDECAR_SUFFIX) -> DataFrame:
     """(file_name, expected) of each sidecar in a folder; the name is that of the data file it speaks for."""
     schema = struct(file_name=T.StringType(), expected=T.StringType())
-    try:
-        lines = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
+    if not path_exists(spark, path):
         return empty_frame(spark, schema)
+    lines = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(path)
     return lines.select(
         names.strip_suffix(names.plain_path(F.col("_metadata.file_name")), suffix).alias("file_name"),
         expected_digest(F.col("value")).alias("expected"),

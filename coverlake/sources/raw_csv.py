@@ -6,13 +6,12 @@ import re
 from collections import defaultdict
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverlake.functions import names
-from coverlake.sources.landing import path_missing, read_headers
+from coverlake.sources.landing import path_exists, read_headers
 from coverlake.sources.local import empty_frame, struct
 
 # Provenance every raw frame carries. ROW_ORDER gives file order: rows of one file sort by block, then row.
@@ -139,17 +138,14 @@ def bronze_files(
         if not dates:
             return empty_frame(spark, schema)
         folder += "/{" + ",".join(names.date_path(d) for d in sorted(set(dates))) + "}"
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", True)
-            .load(folder)
-        )
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
+    if not path_exists(spark, folder):
         return empty_frame(spark, schema)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
     day = names.path_date(F.col("path")).alias("business_date")
     return files.select("path", "length", day).where(F.col("business_date").isNotNull())
 

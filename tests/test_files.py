@@ -2,13 +2,14 @@
 
 from datetime import date, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import DAY, write_csv, write_sidecar
 from coverlake.operators import arrival, audit, checksum, ledger
 from coverlake.sinks.landing import expire_layers, expired_partitions
-from coverlake.sinks.tables import replace_date, truncate_load
+from coverlake.sinks.tables import replace_date, replace_partitions, truncate_load
 from coverlake.sources import landing
 from coverlake.sources.landing import file_digests, list_directory, read_sidecars
 from coverlake.sources.manifest import DIRECTORIES, directory, manifest_entities, manifest_table, read_manifest
@@ -216,3 +217,30 @@ def test_expired_files_are_deleted(spark, tmp_path):
 
 def test_directories_are_whole():
     assert [d["dir_id"] for d in DIRECTORIES] == ["inbound", "reports"]
+
+
+def test_clustered_files_hold_ranges_of_their_own(spark, tmp_path):
+    """Footers show separate ranges of the cluster column; a value with a third of the rows lies in several files."""
+    rows = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'POL-00005000' ELSE concat('POL-', lpad(CAST((id * 7919) % 10000 AS STRING), 8, '0')) END AS policy_id",
+        "IF(id % 2 = 0, 'PAID', 'OVERDUE') AS status", "DATE '2026-05-14' AS ingestion_date",
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        replace_partitions(rows, str(tmp_path / "t"), ["ingestion_date"], ["policy_id", "status"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    ranges = []
+    for path in (tmp_path / "t").rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        column = next(i for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == "policy_id")
+        stats = [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats), meta.num_rows))
+    ranges.sort()
+    assert sum(n for *_, n in ranges) == 30_000 and 8 <= len(ranges) <= 12
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sum(low == high == "POL-00005000" for low, high, _ in ranges) >= 2
+    assert max(n for *_, n in ranges) < 6_000
