@@ -5,6 +5,8 @@ A reset is a marker row. Only entries after the last marker of a scope count.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -192,6 +194,38 @@ class DateLedger:
         return ledger_summary(self.entries(), "scope", self.done())
 
 
+OPEN = "open"
+CLOSED = "closed"
+
+
+class IntentJournal:
+    """What a run is about to replace: an entry before each write and one after it.
+
+    A run that dies in between leaves its dates open. Whether the write happened in part or not at all, they are redone
+    at the next start from what they are derived from, also where the ledger has them from an earlier run.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.book = DateLedger(spark, path)
+
+    @contextmanager
+    def during(self, scope: str, dates: list[date]) -> Iterator[None]:
+        """The dates are open from here until the block has ended well."""
+        self.book.record(scope, dates, OPEN)
+        yield
+        self.book.record(scope, dates, CLOSED)
+
+    def unfinished(self, scope: str) -> list[date]:
+        """Dates whose latest entry is open."""
+        latest = (
+            self.book.entries()
+            .where(F.col("scope") == scope)
+            .groupBy("business_date")
+            .agg(F.max_by(F.col("outcome"), F.struct("recorded_at", F.col("outcome") == CLOSED)).alias("outcome"))
+        )
+        return ledger_dates(latest.where(F.col("outcome") == OPEN))
+
+
 def ledger_dates(frame: DataFrame) -> list[date]:
     """Sorted distinct dates of a small ledger frame; at most one per calendar day."""
     return [r.business_date for r in frame.select("business_date").distinct().orderBy("business_date").collect()]

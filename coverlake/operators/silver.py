@@ -96,17 +96,26 @@ class SilverMetrics:
 
 
 def to_silver(
-    rows: DataFrame, spec: EntitySpec, as_of: date, order: list[str] = ROW_ORDER, metrics: SilverMetrics | None = None
+    rows: DataFrame,
+    spec: EntitySpec,
+    as_of: date,
+    order: list[str] = ROW_ORDER,
+    metrics: SilverMetrics | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Silver rows of any number of files and dates: one narrow projection, one shuffle, one narrow projection.
 
     Raw rows carry `_business_date` and the order columns; the last row of a key within a date wins. With `metrics`,
-    failures and rows are counted as they pass.
+    failures and rows are counted as they pass. `stored` silver rows of the same dates compete by the order columns they
+    have kept, so that new files need not be read together with the old ones.
     """
     typed = normalise(rows, spec, flagged=metrics is not None)
     if metrics:
         bad = [F.expr(f"count_if({UNPARSED} & {1 << k}L <> 0)").alias(f"{UNPARSED}_{c}") for k, c in enumerate(_parsed_columns(rows, spec))]
         typed = typed.observe(metrics.read, F.count(F.lit(1)).alias(ROWS_IN), *bad).drop(UNPARSED)
+    if stored is not None:
+        made = {*spec.derived, "_row_hash", "_ingested_at"}
+        typed = typed.unionByName(stored.drop(*made), allowMissingColumns=True)
     kept = derive(one_per_key(typed, [BUSINESS_DATE, spec.key], order, keep="last"), spec, as_of)
     return kept.observe(metrics.kept, F.count(F.lit(1)).alias(ROWS_KEPT)) if metrics else kept
 

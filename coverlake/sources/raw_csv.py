@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverlake.functions import names
-from coverlake.sources.landing import path_exists, read_headers
+from coverlake.sources.landing import NOT_UTF8, path_exists, read_headers
 from coverlake.sources.local import empty_frame, struct
 
 # Provenance every raw frame carries. ROW_ORDER gives file order: rows of one file sort by block, then row.
@@ -84,35 +84,48 @@ def _scan(spark: SparkSession, paths: list[str], header: list[str], multi_line:
     )
 
 
-def read_csv_files(spark: SparkSession, files: DataFrame, whole_folders: bool = False) -> DataFrame:
+class UnreadableFiles(RuntimeError):
+    """Files that should have been read and cannot be."""
+
+
+def read_csv_files(
+    spark: SparkSession, files: DataFrame, whole_folders: bool = False, strict: bool = False
+) -> DataFrame:
     """Rows of the listed CSV files as text, columns matched by name.
 
     Files with the same header form one scan, so an ordinary day is one scan. A file is read in splits, whatever its
     length, unless some line holds an odd number of quotes; then its records may span lines and it is read whole.
-    Cells beyond the header land in `_overflow`. Files with a faulty header are left out. Paths pass through the
-    driver, as they do in Spark's own file index; with `whole_folders`, a folder whose files are all listed and alike
+    Cells beyond the header land in `_overflow`. Files with a faulty header are left out, or, if strict, stop the job
+    before it reads on, as bytes that are not UTF-8 do. Paths pass through the driver, as they do in Spark's own file index; with `whole_folders`, a folder whose files are all listed and alike
     is passed as one path.
     """
-    headers = read_headers(files, RESERVED).where(F.col("columns").isNotNull())
+    headers = read_headers(files, RESERVED).where("columns IS NOT NULL OR fault IS NOT NULL")
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
     if whole_folders:
         kinds = headers.groupBy(folder.alias("folder")).agg(
-            F.collect_set("columns").alias("kinds"), F.collect_list(F.struct("path", "columns")).alias("members")
+            F.collect_set("columns").alias("kinds"),
+            F.collect_list(F.struct("path", "columns", "fault")).alias("members"),
+            F.bool_or(F.col("fault").isNotNull()).alias("faulty"),
         )
-        alike = F.size("kinds") == 1
+        alike = (F.size("kinds") == 1) & ~F.col("faulty")
+        together = F.struct(F.col("folder").alias("path"), F.col("kinds")[0].alias("columns"), F.lit(None).cast("string").alias("fault"))
         targets = kinds.select(
             F.explode(
-                F.when(alike, F.array(F.struct(F.col("folder").alias("path"), F.col("kinds")[0].alias("columns"))))
-                .otherwise(F.col("members"))
+                F.when(alike, F.array(together)).otherwise(F.col("members"))
             ).alias("t")
-        ).select("t.path", "t.columns")
+        ).select("t.path", "t.columns", "t.fault")
     else:
-        targets = headers.select("path", "columns")
-    found = targets.orderBy("path").collect()
+        targets = headers.select("path", "columns", "fault")
+    listed = targets.orderBy("path").collect()
+    if strict and (faulty := [f"{r.path}: {r.fault}" for r in listed if r.fault]):
+        raise UnreadableFiles("; ".join(faulty[:10]))
+    found = [r for r in listed if not r.fault]
     if not found:
         return empty_raw(spark)
-    traits = text_traits(spark, [r.path for r in found]).where("spans_lines").select("path").collect()
-    spanning = {bare_path(r.path) for r in traits}
+    traits = text_traits(spark, [r.path for r in found]).where("spans_lines OR NOT is_utf8").collect()
+    if strict and (faulty := [r.path for r in traits if not r.is_utf8]):
+        raise UnreadableFiles(f"{NOT_UTF8}: {'; '.join(faulty[:10])}")
+    spanning = {bare_path(r.path) for r in traits if r.spans_lines}
     spanning_folders = {path.rpartition("/")[0] for path in spanning}
     groups: dict[tuple, list[str]] = defaultdict(list)
     for row in found:
@@ -159,5 +172,6 @@ def bronze_dates(
 
 def read_bronze(spark: SparkSession, bronze_root: str, entity: str, dates: list[date] | None = None) -> DataFrame:
     """Raw rows of an entity for the given dates (all when none are named), with `_business_date`."""
-    rows = read_csv_files(spark, bronze_files(spark, bronze_root, entity, dates), whole_folders=True)
+    files = bronze_files(spark, bronze_root, entity, dates)
+    rows = read_csv_files(spark, files, whole_folders=True, strict=True)
     return rows.withColumn("_business_date", names.path_date(F.col(PATH))).drop(PATH)

@@ -15,10 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from coverlake.functions import names
 from coverlake.operators import arrival, audit, ledger
-from coverlake.operators.ledger import ledger_dates
 from coverlake.plans.ingest import check_digests, folder_of, process_files
 from coverlake.plans.layout import Lake
-from coverlake.plans.silver import rebuild_dates
+from coverlake.plans.silver import merge_files
 from coverlake.sources.manifest import manifest_table
 from coverlake.sources.tables import read_or_empty
 
@@ -54,16 +53,14 @@ def stream_silver(
     as_of: date | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Bronze files as they appear; each batch derives the dates it touches anew from all their bronze files.
+    """Bronze files as they appear; each batch brings its own files into the dates they belong to.
 
-    A late file therefore meets the rows already there: the last row of a key wins across old and new files.
+    A late file meets the rows already there: the last row of a key wins across old and new files. A batch that runs
+    twice finds its own rows stored and changes nothing.
     """
 
     def derive(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(names.path_date(F.col("path")).alias("business_date")).where("business_date IS NOT NULL")
-        dates = ledger_dates(touched)
-        if dates:
-            rebuild_dates(batch.sparkSession, lake, entity, dates, as_of)
+        merge_files(batch.sparkSession, lake, entity, batch.select("path", "length"), as_of)
 
     return (
         watch_files(spark, f"{lake.bronze}/*/{entity}", "*.csv", files_per_batch)

@@ -12,6 +12,7 @@ from coverlake.operators.arrival import ArrivalIncomplete
 from coverlake.operators.checksum import ChecksumFailed
 from coverlake.operators.ledger import DateLedger, FileLedger
 from coverlake.plans import daily
+from coverlake.plans import silver as silver_plan
 from coverlake.plans.daily import run_day
 from coverlake.plans.gold import load_gold
 from coverlake.plans.ingest import ingest_directory
@@ -238,8 +239,8 @@ def test_backfill_is_one_job_over_pending_dates_and_late_files_win(spark, tmp_pa
     write_csv(tmp_path / "bronze/inbound/claims/loose.csv", CLAIMS)
     assert silver_for_date(spark, lake, "claims", DAY) .endswith("2026-05-14")
     pending = silver_backfill(spark, lake, "claims")
-    assert pending == [date(2026, 5, 15), date(2026, 5, 16)]
-    assert silver_backfill(spark, lake, "claims") == []
+    assert pending == {date(2026, 5, 15): "ok", date(2026, 5, 16): "ok"}
+    assert silver_backfill(spark, lake, "claims") == {}
     assert len(silver_backfill(spark, lake, "claims", force=True)) == 3
     table = spark.read.parquet(f"{lake.silver}/claims")
     assert rows_of(table.groupBy("day").agg(F.count("*").alias("n"), F.max("claimed_amount").alias("m")), "day", "n", "m") == [
@@ -256,3 +257,68 @@ def test_backfill_is_one_job_over_pending_dates_and_late_files_win(spark, tmp_pa
     book = DateLedger(spark, lake.silver_ledger)
     book.reset("claims")
     assert book.is_first_run("claims") and len(silver_backfill(spark, lake, "claims")) == 3
+
+
+def bronze_claims(root, days, **cells):
+    for day in days:
+        folder = root / f"bronze/inbound/claims/year={day.year}/month={day.month:02d}/day={day.day:02d}"
+        write_csv(folder / f"claims_{day:%Y%m%d}.csv", [dict(c, **cells) for c in CLAIMS])
+
+
+def test_one_corrupt_file_costs_its_own_date(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    days = [DAY + timedelta(days=k) for k in range(12)]
+    bronze_claims(tmp_path, days)
+    bad = tmp_path / f"bronze/inbound/claims/year=2026/month=05/day={days[4].day:02d}/claims_bad.csv"
+    bad.write_bytes(b"claim_id,policy_\xff\xfeid\n1,2\n")
+    jobs = []
+    rebuild = silver_plan.rebuild_dates
+    monkeypatch.setattr(silver_plan, "rebuild_dates", lambda *a: (jobs.append(len(a[3])), rebuild(*a))[1])
+    got = silver_backfill(spark, lake, "claims")
+    assert {d: s[:5] for d, s in got.items()} == {d: "error" if d == days[4] else "ok" for d in days}
+    assert "claims_bad.csv" in got[days[4]] and jobs[0] == 12 and len(jobs) <= 2 * 4 + 1
+    assert spark.read.parquet(f"{lake.silver}/claims").select("day").distinct().count() == 11
+    bad.unlink()
+    assert silver_backfill(spark, lake, "claims") == {days[4]: "ok"}
+
+
+RECORD = DateLedger.record
+
+
+def gone_when_done(self, scope, dates, outcome="done"):
+    if outcome == "done":
+        raise OSError("the driver is gone")
+    RECORD(self, scope, dates, outcome)
+
+
+def test_a_write_that_broke_off_is_redone(spark, tmp_path, monkeypatch):
+    """Between write and ledger, and with files of a partition lost halfway, also for a date done before."""
+    lake, whole = Lake(str(tmp_path / "a")), Lake(str(tmp_path / "b"))
+    for name in ("a", "b"):
+        bronze_claims(tmp_path / name, [DAY])
+    silver_backfill(spark, whole, "claims", as_of=DAY)
+    silver_backfill(spark, lake, "claims", as_of=DAY)
+
+    def content(of):
+        table = read_silver(spark, of.silver, "claims", DAY).drop("_ingested_at", "_source_file", "_row_id")
+        return sorted(map(str, table.collect()))
+
+    def broken_write(rows, path, *args):
+        for part in (tmp_path / "a/silver/claims").rglob("*.parquet"):
+            part.unlink()
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(silver_plan, "write_dates", broken_write)
+    with pytest.raises(OSError):
+        silver_for_date(spark, lake, "claims", DAY, force=True, as_of=DAY)
+    monkeypatch.undo()
+    assert silver_plan.unfinished_dates(spark, lake, "claims") == [DAY]
+    assert silver_for_date(spark, lake, "claims", DAY, as_of=DAY) != "skipped"
+    assert content(lake) == content(whole) and silver_plan.unfinished_dates(spark, lake, "claims") == []
+    assert silver_for_date(spark, lake, "claims", DAY, as_of=DAY) == "skipped"
+    # after the write, before the ledger: a merge that meets the open date rebuilds it from bronze
+    monkeypatch.setattr(DateLedger, "record", gone_when_done)
+    with pytest.raises(OSError):
+        silver_for_date(spark, lake, "claims", DAY, force=True, as_of=DAY)
+    monkeypatch.undo()
+    assert silver_backfill(spark, lake, "claims", as_of=DAY) == {DAY: "ok"} and content(lake) == content(whole)
