@@ -414,7 +414,31 @@ SELECT event_type, odd, CAST(CASE WHEN odd = 0 THEN 3 * count(cents) ELSE 2 * co
 FROM c GROUP BY event_type, odd
 """
 
+GOLD_TOTALS = "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
+       coalesce(CAST(sum(CAST(CAST({amount} AS DOUBLE) AS DECIMAL(38, 8))) AS DOUBLE), 0) AS total,
+       '{'skipped' if name.startswith('fact') else 'ok'}' AS second_status FROM ({GOLD[name]}) AS g"""
+    for name, amount in {
+        "dim_policy": "annual_premium_eur", "dim_claimant": "claimant_sk", "dim_reinsurer": "length(reinsurer_name)",
+        "fact_premiums": "amount_due", "fact_claims": "claimed_amount", "fact_reinsurance": "ceded_premium",
+        "agg_daily_premium_summary": "premium_count", "agg_claim_by_status": "claim_count",
+        "agg_reinsurer_exposure": "cession_count",
+    }.items()
+)
+
+FILE_CHECKSUMS = """
+WITH w AS (SELECT doc_id AS n, text AS content FROM documents),
+s AS (
+  SELECT concat('doc_', CAST(n AS VARCHAR), '.csv') AS file_name,
+         sha256(concat(content, CASE WHEN n % 17 = 0 THEN '!' ELSE '' END)) AS expected,
+         CASE WHEN n % 19 <> 0 THEN sha256(content) END AS actual
+  FROM w WHERE n % 13 <> 0)
+SELECT file_name, expected, actual, coalesce(expected = actual, false) AS ok FROM s
+"""
+
 ORACLES: dict[str, str] = {
+    "gold_load": GOLD_TOTALS,
+    "file_checksums": FILE_CHECKSUMS,
     "large_sums": LARGE_SUMS,
     "silver_metrics": f"""WITH raw AS (
   SELECT * REPLACE (CASE WHEN claimed_amount LIKE '%7' THEN 'x' ELSE claimed_amount END AS claimed_amount) FROM ({raw_sql('claims')}) AS m),

@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlake.checks import inputs
-from coverlake.functions import names
+from coverlake.functions import cells, names
 from coverlake.functions.exact import grouped_sums
 from coverlake.operators import arrival, audit, checksum, gate, gold, ledger, silver
 from coverlake.plans.ingest import folder_of, ingest_directory
 from coverlake.plans.layout import Lake
-from coverlake.plans.silver import silver_backfill, silver_for_date
+from coverlake.plans.gold import load_gold
+from coverlake.plans.silver import silver_all, silver_backfill, silver_for_date
 from coverlake.session import scratch_dir
 from coverlake.sinks.landing import bronze_uri, expired_partitions
 from coverlake.sinks.tables import replace_listed, truncate_load
-from coverlake.sources.landing import copy_files, expected_digest
+from coverlake.sources.landing import copy_files, expected_digest, file_digests, read_sidecars, write_files
 from coverlake.sources.manifest import DIRECTORIES, manifest_entities, manifest_table
 from coverlake.sources.raw_csv import bronze_dates as list_bronze_dates
 from coverlake.sources.raw_csv import read_bronze, read_csv_files
@@ -328,6 +329,53 @@ def backfill_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_run_columns(spark.read.parquet(f"{lake.silver}/premiums"))
 
 
+#: What is added up of each gold table.
+GOLD_TOTALS = {
+    "dim_policy": "annual_premium_eur", "dim_claimant": "claimant_sk", "dim_reinsurer": "length(reinsurer_name)",
+    "fact_premiums": "amount_due", "fact_claims": "claimed_amount", "fact_reinsurance": "ceded_premium",
+    "agg_daily_premium_summary": "premium_count", "agg_claim_by_status": "claim_count", "agg_reinsurer_exposure": "cession_count",
+}
+
+
+def gold_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four feeds of one date through bronze files, silver of the date and two gold loads; the second skips facts."""
+    lake = Lake(scratch_dir(spark, "gold"))
+    for entity, directory in (("policies", "inbound"), ("claims", "inbound"), ("premiums", "reports"), ("reinsurance", "reports")):
+        rows = raw_sample(spark, sf_dir, entity).withColumn("_business_date", F.lit(SAMPLE_DATE).cast("date"))
+        _write_bronze(rows, lake, directory, entity)
+    written = silver_all(spark, lake, SAMPLE_DATE, as_of=SAMPLE_DATE)
+    if failed := [s for s in written.values() if s.startswith("error")]:
+        raise RuntimeError(failed[0])
+    load_gold(spark, lake, SAMPLE_DATE)
+    again = load_gold(spark, lake, SAMPLE_DATE)
+    result = None
+    for name, amount in GOLD_TOTALS.items():
+        part = spark.read.parquet(f"{lake.gold}/{name}").selectExpr(f"CAST({amount} AS DOUBLE) AS amount").selectExpr(
+            f"'{name}' AS table_name", "count(*) AS n_rows", f"{cells.exact_sum('amount')} AS total",
+            f"'{again[name]}' AS second_status",
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files with sidecars beside them, both read back from the folder: every 17th digest is wrong, every
+    19th file is missing, every 13th has no sidecar."""
+    lake = Lake(scratch_dir(spark, "checksums"))
+    folder = f"{lake.landing}/inbound"
+    whole = table(spark, sf_dir, "documents").selectExpr(
+        "concat('doc_', CAST(doc_id AS STRING), '.csv') AS file_name", "doc_id AS n", "text AS content"
+    )
+    sidecars = whole.where("n % 13 <> 0").selectExpr(
+        "concat(file_name, '.sha256') AS file_name",
+        "concat(upper(sha2(concat(content, CASE WHEN n % 17 = 0 THEN '!' ELSE '' END), 256)), '  ', file_name) AS content",
+    )
+    write_files(whole.where("n % 19 <> 0").select("file_name", "content").unionByName(sidecars), folder)
+    stated = read_sidecars(spark, folder)
+    digests = file_digests(stated.select(F.concat(F.lit(f"{folder}/"), "file_name").alias("path")))
+    return checksum.checksum_report(stated, digests)
+
+
 def silver_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse failures and dropped rows counted while all claim dates are written, beside no scan of their own."""
     lake = Lake(scratch_dir(spark, "metrics"))
@@ -468,5 +516,7 @@ QUERIES: dict[str, Query] = {
     "bronze_partitions": bronze_partitions,
     "landed_cells": landed_cells,
     "silver_metrics": silver_metrics,
+    "gold_load": gold_load,
+    "file_checksums": file_checksums,
     "stream_incremental_silver": stream_incremental_silver,
 }

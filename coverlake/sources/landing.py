@@ -154,6 +154,21 @@ def copy_files(files: DataFrame) -> None:
     spread.mapInPandas(_copy_batches, "path string, target string").write.format("noop").mode("overwrite").save()
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """One file of a folder for each row (file_name, content), written by tasks."""
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, inner = _filesystem(folder)
+        filesystem.create_dir(inner, recursive=True)
+        for part in parts:
+            for name, content in zip(part["file_name"], part["content"]):
+                with filesystem.open_output_stream(f"{inner}/{name}") as sink:
+                    sink.write(content.encode())
+            yield part[["file_name"]]
+
+    files.select("file_name", "content").mapInPandas(batches, "file_name string").write.format("noop").mode("overwrite").save()
+
+
 def _delete_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["path"]:

@@ -129,9 +129,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out evenly, so that all cores take part in parsing them.
+
+    A table of one small file is one split. Larger scans are left as they are; `_ord` keeps the order of rows.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def raw_sample(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Raw text rows of one feed with `_business_date`, `_source_file` and the row order `_ord`."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES[entity]}
+    frames[TABLES[entity][0]] = dealt_out(frames[TABLES[entity][0]])
     return spark.sql(MAPPINGS[entity], **frames)
 
 
