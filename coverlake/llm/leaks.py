@@ -67,12 +67,11 @@ def _fingerprinted(df: DataFrame) -> DataFrame:
 
 
 def _grams_sql(words: str, size: int) -> str:
-    """Place, hash and weight of every run of `size` words of an array."""
-    at = [f"{words}[i + {k}]" for k in range(size)]
+    """Hashes of every run of `size` words of an array, in order."""
+    at = ", ".join(f"{words}[i + {k}]" for k in range(size))
     return (
-        f"CASE WHEN size({words}) < {size} THEN CAST(array() AS ARRAY<STRUCT<place: INT, h: BIGINT, w: INT>>)"
-        f" ELSE transform(sequence(0, size({words}) - {size}), i -> named_struct('place', i,"
-        f" 'h', xxhash64({', '.join(at)}), 'w', {' + '.join(f'length({x})' for x in at)})) END"
+        f"CASE WHEN size({words}) < {size} THEN CAST(array() AS ARRAY<BIGINT>)"
+        f" ELSE transform(sequence(0, size({words}) - {size}), i -> xxhash64({at})) END"
     )
 
 
@@ -85,7 +84,7 @@ def _windows(worded: DataFrame, items: DataFrame, threshold_percent: int) -> Dat
     weight over the item's, windows with less than the threshold's share of the lightest item cannot match.
     """
     anchors = materialise(
-        items.selectExpr("n_words", "explode(shingles.h) AS h")
+        items.selectExpr("n_words", "inline(shingles) AS (h, w)")
         .distinct()
         .join(
             items.groupBy("n_words").agg(F.expr("min(aggregate(shingles, 0L, (s, x) -> s + x.w)) AS lightest")),
@@ -95,7 +94,7 @@ def _windows(worded: DataFrame, items: DataFrame, threshold_percent: int) -> Dat
     )
     hits = (
         worded.selectExpr(
-            "doc_id", "text_hash", "size(words) AS n_text", f"inline({_grams_sql('words', SHINGLE_WORDS)})"
+            "doc_id", "text_hash", "size(words) AS n_text", f"posexplode({_grams_sql('words', SHINGLE_WORDS)}) AS (place, h)"
         )
         .join(small(anchors), "h")
         .selectExpr(
@@ -131,7 +130,7 @@ def _short_items(worded: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("text IS NOT NULL").selectExpr("item_id", f"{normal_words_sql('text')} AS words")
     items = items.where(f"size(words) BETWEEN 1 AND {SHINGLE_WORDS - 1}")
     sizes = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())
-    grams = [f"transform({_grams_sql('words', n)}, g -> named_struct('n_words', {n}, 'start', g.place, 'h', g.h))" for n in sizes]
+    grams = [f"transform({_grams_sql('words', n)}, (h, i) -> named_struct('n_words', {n}, 'start', i, 'h', h))" for n in sizes]
     nothing = "CAST(array() AS ARRAY<STRUCT<n_words: INT, start: INT, h: BIGINT>>)"
     listed = materialise(
         items.selectExpr(
