@@ -79,3 +79,15 @@ def test_aggregates_accept_text_input(spark, raw):
     assert [(r.status, r.total_amount_due, r.collection_rate) for r in found] == [("PAID", 0.0, None), ("PENDING", 191.67, 0.0)]
     claims = raw("claims").withColumn("days_to_report", F.lit("3"))
     assert [r.fraud_count for r in gold.agg_claim_by_status(claims, DAY).collect()] == [0, 0]
+
+
+def test_metrics_are_counted_on_the_write_without_a_second_scan(raw, tmp_path):
+    rows = raw("claims", [*CLAIMS, dict(CLAIMS[0], claimed_amount="x", reported_date="soon")])
+    metrics = silver.SilverMetrics(REGISTRY["claims"])
+    table = silver.to_silver(rows, REGISTRY["claims"], DAY, metrics=metrics)
+    assert table._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
+    table.write.parquet(str(tmp_path / "t"))
+    got = {(r["metric"], r["column_name"]): r["value"] for r in metrics.rows()}
+    asked = {("bad_values", r.column_name): r.bad_values for r in silver.parse_failures(rows, REGISTRY["claims"]).collect()}
+    assert got == {**asked, ("rows_in", None): 3, ("rows_kept", None): 2, ("rows_dropped", None): 1}
+    assert asked["bad_values", "claimed_amount"] == asked["bad_values", "reported_date"] == 1
