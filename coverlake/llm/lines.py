@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,17 @@ from coverlake.llm.text import materialise, unused
 
 #: Lines shorter than this say too little to be called copies.
 LEAST_CHARS = 20
-#: Edits (insert, delete, replace a character) up to which two lines are copies.
-EDITS = 2
+#: Two lines are copies up to one edit (insert, delete, replace a character) for each so many characters of the
+#: shorter one's class, but at least LEAST_EDITS and, for the band to fit a 64-bit number, at most MOST_EDITS.
+CHARS_PER_EDIT = 32
+LEAST_EDITS = 2
+MOST_EDITS = 30
+#: Length classes start at LEAST_CHARS and grow by a fifth, until the edits do not grow any more.
+CLASS_GROWTH = 1.2
+#: Segments from this width on are keyed from a word's start: shifts that reach the same word share a key.
+ANCHORED_WIDTH = 15
 #: Characters counted, modulo 16, for a bound on the distance that needs no text.
-COUNTED = "etanoirshdlbwgu,"
+COUNTED = "etanoirshdlu"
 #: Candidate lines up to this many are looked up by broadcast, at 16 bytes each; more are joined by shuffle.
 BROADCAST_LINES = 1_000_000
 
@@ -35,80 +44,157 @@ def line_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(i: int, length: str, edits: int) -> tuple[str, str]:
-    """Start and length, in SQL, of segment i (from 0) of a line of that length: even parts, longer ones last."""
-    parts = edits + 1
-    longer_from = f"({parts} - ({length}) % {parts})"
-    start = f"(1 + {i} * (({length}) DIV {parts}) + greatest(0, {i} - {longer_from}))"
-    return start, f"((({length}) DIV {parts}) + CASE WHEN {i} >= {longer_from} THEN 1 ELSE 0 END)"
+def class_starts() -> list[int]:
+    """The least length of each class of lines."""
+    starts = [LEAST_CHARS]
+    while starts[-1] < CHARS_PER_EDIT * MOST_EDITS:
+        starts.append(math.ceil(starts[-1] * CLASS_GROWTH))
+    return starts
+
 
+def class_edits(start: int) -> int:
+    """Edits that lines of the class may be apart."""
+    return max(LEAST_EDITS, min(MOST_EDITS, start // CHARS_PER_EDIT))
 
-def index_keys(edits: int) -> str:
-    """A line's segments with its length, hashed, as an SQL array."""
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment(i, "n", edits)
-        keys.append(f"xxhash64({i}, n, substr(line, {start}, {size}))")
-    return f"array({', '.join(keys)})"
 
+def edits_sql(n: str) -> str:
+    """Edits that a line of that length may be apart from one as long or longer."""
+    cases = [f"WHEN {n} >= {start} THEN {class_edits(start)}" for start in reversed(class_starts())]
+    return f"(CASE {' '.join(cases)} ELSE 0 END)"
 
-def probe_keys(edits: int) -> str:
-    """What a line looks up, as an SQL array of (key, shorter): substrings where a segment of another line can lie.
 
-    Of two lines within `edits` edits, one segment of the shorter line stands unchanged in the longer one, shifted by no
-    more than the edits left of it, and by no more than the edits right of it when counted from the end. A line probes
-    the indexes of its own length and of up to `edits` smaller ones.
+def classes_sql(n: str) -> str:
+    """The classes whose lines can be copies of one of that length and no longer: an array of (start, k, own).
+
+    The line's own class, in which it is indexed too, and the one below where its lines come within their edits.
+    """
+    starts = class_starts()
+    cases = []
+    for at in range(len(starts) - 1, -1, -1):
+        own = f"named_struct('start', {starts[at]}, 'k', {class_edits(starts[at])}, 'own', true)"
+        if at:
+            k = class_edits(starts[at - 1])
+            below = f"named_struct('start', {starts[at - 1]}, 'k', {k}, 'own', false)"
+            cases.append(f"WHEN {n} >= {starts[at] + k} THEN array({own}) WHEN {n} >= {starts[at]} THEN array({own}, {below})")
+        else:
+            cases.append(f"ELSE array({own})")
+    return f"CASE {' '.join(cases)} END"
+
+
+def windows_sql() -> str:
+    """What the k + 1 segments of width w can lie in, as an SQL array, from columns line, n, k and w.
+
+    The first half of the segments is placed from the line's start, the other half from its end. k edits leave at least
+    one segment unchanged whose shift is at most its rank in its half: were there none, each half would hold as many
+    edits as segments. So segment t is looked for up to least(t, k - t) places to both sides.
     """
-    keys = []
-    for less in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(i, f"n - {less}", edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                key = f"xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size}))"
-                keys.append(f"named_struct('key', {key}, 'shorter', {'true' if less else 'false'})")
-    return f"array({', '.join(keys)})"
+    place = "CASE WHEN t <= k - t THEN 1 + t * w ELSE n - (k - t + 1) * w + 1 END"
+    return f"transform(sequence(0, k), t -> substr(line, {place} - least(t, k - t), w + 2 * least(t, k - t)))"
+
+
+def _key(shift: str) -> str:
+    """Key of the segment at that shift (from 0) of window x of segment t: a word's start in its first g characters on."""
+    ahead = f"greatest(instr(substr(x, {shift} + 1, g + 1), ' ') - 1, 0)"
+    return f"xxhash64(start, t, substr(x, {shift} + 1 + {ahead}, w - g))"
+
+
+def line_keys(distinct: DataFrame) -> DataFrame:
+    """Substring keys of lines (h1, line): key, h1, traits.
+
+    `traits` packs twelve counts, the length modulo 256, the class's edits and, last, whether the line is found by the
+    key (its own segment) or only looks others up. A line's own segments are also its look-ups without a shift, so one
+    row stands for both.
+    """
+    traits = f"shiftleft({sketch_sql()}, 14) | shiftleft(CAST(length(line) & 255 AS BIGINT), 6)"
+    classed = distinct.selectExpr("h1", "line", "length(line) AS n", f"{traits} AS bits").selectExpr(
+        "h1", "line", "n", "bits", f"inline({classes_sql('n')})"
+    )
+    windows = classed.selectExpr("*", "start DIV (k + 1) AS wide").selectExpr(
+        "h1", "line", "n", "start", "k", "own", "CAST(wide AS INT) AS w",
+        f"CAST(CASE WHEN wide >= {ANCHORED_WIDTH} THEN wide DIV 3 ELSE 0 END AS INT) AS g",
+        "bits | (k << 1) AS bits",
+    ).selectExpr("h1", "start", "k", "own", "w", "g", "bits", f"{windows_sql()} AS windows")
+    keyed = windows.selectExpr(
+        "h1", "bits",
+        f"CASE WHEN own THEN transform(windows, (x, t) -> {_key('least(t, k - t)')}) ELSE array() END AS found_by",
+        f"flatten(transform(windows, (x, t) -> transform(sequence(0, 2 * least(t, k - t)), s -> {_key('s')}))) AS asks",
+    )
+    return keyed.selectExpr(
+        "h1",
+        "inline(concat(transform(array_distinct(found_by), key -> named_struct('key', key, 'traits', bits | 1L)),"
+        " transform(array_except(asks, found_by), key -> named_struct('key', key, 'traits', bits))))",
+    )
 
 
 def sketch_sql() -> str:
-    """Counts of sixteen characters, four bits each."""
+    """Counts of twelve characters, four bits each."""
     return " | ".join(
         f"shiftleft(CAST((octet_length(line) - octet_length(replace(line, '{c}', ''))) % 16 AS BIGINT), {4 * k})"
         for k, c in enumerate(COUNTED)
     )
 
 
-def sketches_within_sql(a: str, b: str, edits: int) -> str:
-    """Whether the counts leave room for the lines to be within `edits` edits: each raises and lowers at most one."""
-    gaps = [f"(((shiftright({a}, {4 * k}) & 15) - (shiftright({b}, {4 * k}) & 15)) & 15)" for k in range(len(COUNTED))]
-    up = " + ".join(f"CASE WHEN {g} < 8 THEN {g} ELSE 0 END" for g in gaps)
-    down = " + ".join(f"CASE WHEN {g} > 8 THEN 16 - {g} ELSE 0 END" for g in gaps)
-    return f"({up}) <= {edits} AND ({down}) <= {edits}"
+def may_be_copies_sql(a: str, b: str) -> str:
+    """Whether the traits of an indexed line and of one that looks it up leave room for the edits of the first's class.
+
+    The second is as long or up to k longer; an edit changes at most two counts, by one. One expression over both sides,
+    so that they stay alike and share one shuffle.
+    """
+    gaps = [f"((shiftright({a}, {14 + 4 * i}) - shiftright({b}, {14 + 4 * i})) & 15)" for i in range(len(COUNTED))]
+    apart = " + ".join(f"least({g}, 16 - {g})" for g in gaps)
+    k = f"(shiftright({a}, 1) & 31)"
+    longer = f"((shiftright({b}, 6) - shiftright({a}, 6)) & 255)"
+    return (
+        f"CASE WHEN ({a} & 1) = 0 OR {longer} > {k} THEN false"
+        f" WHEN {longer} = 0 AND a.h1 >= b.h1 THEN false ELSE {apart} <= 2 * {k} END"
+    )
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """`body` with `name` standing for a value that is computed once: filters are moved and inlined, lambdas are not."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def within_edits_sql(a: str, b: str, edits: int) -> str:
-    """Whether two arrays of characters are within `edits` edits, by a bit-parallel walk along the band.
+def copies_sql(a: str, b: str) -> str:
+    """Whether two lines, as columns of character arrays, are within the edits of the shorter one's class.
 
-    After j characters of b, bit o of mask d says that the first j + o - edits characters of a can be turned into
-    them by at most d edits. All 2 * edits + 1 cells of the band move in one step: a match keeps a cell, and of the
-    cells with one edit less a replacement keeps the place, an extra character of b moves one down, one of a one up.
+    Their common beginning and end are cut off first; each cut turns the rest round, which leaves its distance alone.
     """
-    width = (1 << (2 * edits + 1)) - 1
-    match = " + ".join(
-        f"CASE WHEN coalesce(get({a}, j - 1 + {o - edits}) = get({b}, j - 1), false) THEN {1 << o} ELSE 0 END"
-        for o in range(2 * edits + 1)
-    )
-    steps = ["(s.r0 & x)"]
-    for d in range(1, edits + 1):
-        steps.append(
-            f"(((s.r{d} & x) | s.r{d - 1} | shiftright(s.r{d - 1}, 1) | shiftleft({steps[-1]}, 1)) & {width})"
+    def cut(v: str) -> str:
+        same = f"array_position(zip_with({v}.a, {v}.b, (x, y) -> x <=> y), false)"
+        rest = ", ".join(
+            f"'{c}', reverse(slice({v}.{c}, CAST(p AS INT), CAST(greatest(size({v}.{c}) - p + 1, 0) AS INT)))" for c in "ab"
         )
-    start = ", ".join(f"'r{d}', {sum(1 << (edits + o) for o in range(d + 1))}" for d in range(edits + 1))
-    step = ", ".join(f"'r{d}', {s}" for d, s in enumerate(steps))
+        return _bound(_bound(same, "q", f"CASE WHEN q = 0 THEN size({v}.a) + 1 ELSE q END"), "p", f"named_struct({rest})")
+
+    rest = _bound(_bound(f"named_struct('a', {a}, 'b', {b})", "u", cut("u")), "v", cut("v"))
+    walk = _bound(edits_sql(f"least(size({a}), size({b}))"), "k", within_edits_sql("w.a", "w.b", "k"))
+    return _bound(rest, "w", walk)
+
+
+def within_edits_sql(a: str, b: str, k: str) -> str:
+    """Whether two arrays of characters are within k edits (at most MOST_EDITS), by a bit-parallel walk along the band.
+
+    After j characters of b, bit o of mask d says that the first j + o - k characters of a can be turned into
+    them by at most d edits. All 2 * k + 1 cells of the band move in one step: a match keeps a cell, and of the
+    cells with one edit less a replacement keeps the place, an extra character of b moves one down, one of a one up.
+    """
+    # shiftleft of one by d + 1, less one: d + 1 ones, at bits k to k + d
+    start = f"transform(sequence(0, {k}), d -> shiftleft(shiftleft(1L, d + 1) - 1L, {k}))"
+    match = (
+        f"aggregate(sequence(0, 2 * {k}), 0L, (m, o) ->"
+        f" CASE WHEN get({a}, s.j + o - {k}) <=> c THEN m | shiftleft(1L, o) ELSE m END)"
+    )
+    step = (
+        f"aggregate(sequence(1, {k}), array(s.r[0] & x), (r, d) -> array_append(r, ((s.r[d] & x) | s.r[d - 1]"
+        f" | shiftright(s.r[d - 1], 1) | shiftleft(r[d - 1], 1)) & (shiftleft(1L, 2 * {k} + 1) - 1L)))"
+    )
     # the transform over one element binds the match mask once
     return (
-        f"abs(size({a}) - size({b})) <= {edits} AND aggregate(sequence(1, size({b})), named_struct({start}),"
-        f" (s, j) -> transform(array({match}), x -> named_struct({step}))[0],"
-        f" s -> (shiftright(s.r{edits}, size({a}) - size({b}) + {edits}) & 1) = 1)"
+        f"CASE WHEN abs(size({a}) - size({b})) > {k} THEN false ELSE aggregate({b},"
+        f" named_struct('j', 0, 'r', {start}),"
+        f" (s, c) -> named_struct('j', s.j + 1, 'r', transform(array({match}), x -> {step})[0]),"
+        f" s -> (shiftright(s.r[{k}], size({a}) - size({b}) + {k}) & 1) = 1) END"
     )
 
 
@@ -118,11 +204,11 @@ def first_lines(rows: DataFrame) -> DataFrame:
     return long_enough.groupBy("h1", "h2").agg(F.expr("min(struct(doc_id, line_no, text_hash)) AS first"))
 
 
-def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs of different lines within `edits` edits of each other, by their hashes: a1, a2, b1, b2.
+def line_links(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Pairs of different lines within the edits of the shorter one's class: a1, a2, b1, b2, by their hashes.
 
-    Each different line is taken from where it stands first, exploded into segment keys and substring keys, and joined
-    on them. Within the join, character counts drop pairs that are surely further apart, so the rows it makes follow
+    Each different line is taken from where it stands first, exploded into substring keys, and joined on them. Within
+    the join, lengths and character counts drop pairs that are surely further apart, so the rows it makes follow
     the links rather than the square of the lines that share a segment. What is left is verified on whole lines. Only
     one hash travels with the keys; lines that share it by chance are told apart there. All links are found.
     """
@@ -130,14 +216,12 @@ def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     places = firsts.selectExpr("first.doc_id AS d", "first.line_no AS l", "first.text_hash AS t").hint("shuffle_hash")
     distinct = rows.join(
         places, rows.doc_id.eqNullSafe(places.d) & (rows.line_no == places.l) & (rows.text_hash == places.t), "left_semi"
-    ).selectExpr("h1", "line", "length(line) AS n", f"{sketch_sql()} AS sketch")
-    index = distinct.selectExpr("h1 AS a1", "sketch AS a_sketch", f"explode({index_keys(edits)}) AS key")
-    probes = distinct.selectExpr("h1 AS b1", "sketch AS b_sketch", f"inline({probe_keys(edits)})").withColumnRenamed(
-        "key", "probe_key"
-    )
-    close = sketches_within_sql("a_sketch", "b_sketch", edits)
-    pairs = index.join(probes, (index.key == probes.probe_key) & F.expr(f"(shorter OR b1 > a1) AND {close}"))
-    pairs = materialise(pairs.select("a1", "b1").distinct(), "line-pairs")
+    ).select("h1", "line")
+    keys = line_keys(distinct)
+    pairs = keys.alias("a").join(
+        keys.alias("b"), F.expr(f"a.key = b.key AND {may_be_copies_sql('a.traits', 'b.traits')}")
+    ).selectExpr("a.h1 AS a1", "b.h1 AS b1")
+    pairs = materialise(pairs.distinct(), "line-pairs")
     ends = materialise(pairs.selectExpr("a1 AS h1").union(pairs.selectExpr("b1 AS h1")).distinct(), "line-ends")
     if ends.count() <= BROADCAST_LINES:
         ends = F.broadcast(ends)
@@ -146,25 +230,22 @@ def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFr
     ).selectExpr("h1", "h2", "regexp_extract_all(line, '(?s).', 0) AS chars")
     left = texts.selectExpr("h1 AS a1", "h2 AS a2", "chars AS a")
     right = texts.selectExpr("h1 AS b1", "h2 AS b2", "chars AS b")
-    return (
-        pairs.join(left, "a1").join(right, "b1")
-        .where(within_edits_sql("a", "b", edits))
-        .select("a1", "a2", "b1", "b2")
-    )
+    return pairs.join(left, "a1").join(right, "b1").where(copies_sql("a", "b")).select("a1", "a2", "b1", "b2")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """What line dedup removes from each document: doc_id, text_hash, n_lines, n_exact, n_near, removed_lines, first_docs.
 
     Lines stand in the order of doc_id and line number, null ids first. A line of LEAST_CHARS characters or more is
-    removed if an equal line stands before it, or if it is within `edits` edits of a line that first stands before it.
+    removed if an equal line stands before it, or if it is within the edits of a line that first stands before it: one
+    for each CHARS_PER_EDIT characters, 2 to 30, counted from the least length of the shorter line's class.
     The first line of each such group always stays. `removed_lines` are line numbers from 0, `first_docs` the
     documents of the lines that are kept instead. One row for each different (doc_id, text); repeated rows are one
     document. Null and empty texts are one short line; columns other than doc_id and text are ignored.
     """
     rows = materialise(line_rows(docs).drop("line"), "lines")
     firsts = materialise(first_lines(rows), "line-firsts")
-    both = materialise(line_links(docs, firsts, edits), "line-links").selectExpr(
+    both = materialise(line_links(docs, firsts), "line-links").selectExpr(
         "inline(array(struct(a1, a2, b1, b2), struct(b1 AS a1, b2 AS a2, a1 AS b1, a2 AS b2)))"
     )
     partners = both.join(firsts.selectExpr("h1 AS b1", "h2 AS b2", "first"), ["b1", "b2"]).groupBy("a1", "a2").agg(

@@ -95,9 +95,13 @@ WITH o AS (
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents)),
 e AS (SELECT * FROM o WHERE length(line) >= {lines.LEAST_CHARS}),
-f AS (SELECT line, length(line) AS n, min({{'doc_id': doc_id, 'line_no': line_no}}) AS first FROM e GROUP BY line),
-x AS (SELECT a.line AS line, b.first AS other FROM f a JOIN (SELECT *, unnest(range(n - {lines.EDITS}, n + {lines.EDITS} + 1)) AS m FROM f) b
-        ON a.n = b.m WHERE b.first < a.first AND levenshtein(a.line, b.line) <= {lines.EDITS}),
+f AS (SELECT line, length(line) AS n, {lines.edits_sql('length(line)')} AS k,
+             min({{'doc_id': doc_id, 'line_no': line_no}}) AS first FROM e GROUP BY line),
+p AS (SELECT a.line AS short, a.first AS short_first, b.line AS long, b.first AS long_first
+      FROM (SELECT *, unnest(range(n, n + k + 1)) AS m FROM f) a JOIN f b ON a.m = b.n
+      WHERE a.line <> b.line AND levenshtein(a.line, b.line) <= a.k),
+x AS (SELECT short AS line, long_first AS other FROM p WHERE long_first < short_first
+      UNION ALL SELECT long, short_first FROM p WHERE short_first < long_first),
 q AS (SELECT line, min(other) AS near_first FROM x GROUP BY line),
 j AS (
   SELECT o.doc_id, o.line_no, q.near_first IS NOT NULL AS near,

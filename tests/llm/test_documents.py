@@ -219,6 +219,72 @@ def test_bit_parallel_distance_equals_the_table(spark, edits):
         assert row.within == (distance(row.x, row.y) <= edits), (row.x, row.y)
 
 
+def within(a, b, k):
+    """Whether the distance is at most k, by the rows of the table within k of the diagonal."""
+    if abs(len(a) - len(b)) > k or (Counter(a) - Counter(b)).total() > k:
+        return False
+    before = {j: j for j in range(k + 1)}
+    for i, x in enumerate(a, 1):
+        now = {}
+        for j in range(max(0, i - k), min(len(b), i + k) + 1):
+            now[j] = i if not j else min(
+                before.get(j, i + k) + 1, now.get(j - 1, i + k) + 1, before.get(j - 1, i + k) + (x != b[j - 1])
+            )
+        before = now
+    return before.get(len(b), k + 1) <= k
+
+
+def edits_of(a, b):
+    """Edits that the lines may be apart, from the least length of the shorter one's class."""
+    at, n = 20, min(len(a), len(b))
+    while at < 960 and math.ceil(at * 1.2) <= n:
+        at = math.ceil(at * 1.2)
+    return max(2, min(30, at // 32))
+
+
+def test_long_lines_are_linked_within_edits_that_grow_with_them(spark):
+    """Every pair that brute force finds, at all lengths, with and without blanks, and no other."""
+    r, given = random.Random(11), []
+    for n in (19, 20, 23, 24, 31, 59, 60, 96, 128, 129, 150, 200, 333, 450, 700, 1300):
+        for blank in (" ", "", "\u4e00"):
+            word = lambda: "".join(r.choice("abcdeilnorstu") for _ in range(r.randint(2, 8)))
+            base = ""
+            while len(base) < n:
+                base += word() + blank
+            given.append(base[:n].strip().ljust(n, "x"))
+            k = edits_of(given[-1], given[-1])
+            for edits in (1, k // 2, k - 1, k, k, k + 1, k + 2):
+                line = list(given[-1 if edits == 1 else -2])
+                kind = r.randrange(4)
+                for _ in range(edits):
+                    place = r.randrange(len(line)) if kind else r.randrange(max(1, len(line) // 4))
+                    if kind == 1:
+                        line.insert(place, r.choice("qz "))
+                    elif kind == 2:
+                        line.pop(place)
+                    else:
+                        line[place] = r.choice("qz ")
+                given.append("".join(line).strip())
+    given = list(dict.fromkeys(given))
+    docs = make(spark, [(0, "\n".join(given), "s")])
+    firsts = lines.first_lines(lines.line_rows(docs))
+    named = {row.h1: row.line for row in lines.line_rows(docs).where("h1 IS NOT NULL").collect()}
+    links = [frozenset((named[row.a1], named[row.b1])) for row in lines.line_links(docs, firsts).collect()]
+    long_enough = [t for t in given if len(t) >= 20]
+    near = {
+        frozenset((a, b)) for i, a in enumerate(long_enough) for b in long_enough[:i] if within(a, b, edits_of(a, b))
+    }
+    assert len(links) == len(set(links)) and set(links) == near and len(near) > 150
+
+
+def test_a_changed_word_in_a_long_passage_is_a_copy(spark, prose):
+    sentence = prose[1]
+    passages = [sentence(60) for _ in range(20)]
+    changed = [" ".join(["another", *p.split()[1:]]) if i % 2 else p.replace(p.split()[30], "changed", 1) for i, p in enumerate(passages)]
+    found = lines.dedup_lines(make(spark, [(i, t, "s") for i, t in enumerate(passages + changed)])).collect()
+    assert {row.doc_id: row.n_near for row in found} == {i: int(i >= 20) for i in range(40)}
+
+
 def test_line_links_are_complete(spark, prose):
     r, sentence = prose
     base = [sentence(6)[:60] for _ in range(25)]
@@ -237,7 +303,7 @@ def test_line_links_are_complete(spark, prose):
         first.setdefault(t.strip(), i)
     for row in found:
         line = rows[row.doc_id][1].strip()
-        earlier = [i for t, i in first.items() if i < first[line] and len(t) >= 20 and distance(t, line) <= 2]
+        earlier = [i for t, i in first.items() if i < first[line] and len(t) >= 20 and distance(t, line) <= edits_of(t, line)]
         assert row.n_near == int(bool(earlier) and len(line) >= 20)
         assert row.n_exact == int(not earlier and first[line] != row.doc_id and len(line) >= 20)
         if earlier:
