@@ -88,6 +88,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+#: The engine's distance counts bytes: letters of several bytes stand for single ones that no line holds.
 LINES = rf"""
 WITH o AS (
   SELECT doc_id, k - 1 AS line_no,
@@ -95,11 +96,20 @@ WITH o AS (
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents)),
 e AS (SELECT * FROM o WHERE length(line) >= {lines.LEAST_CHARS}),
-f AS (SELECT line, length(line) AS n, {lines.edits_sql('length(line)')} AS k,
+chars AS (SELECT DISTINCT unnest(string_split(line, '')) AS c FROM e),
+wide AS (SELECT c, row_number() OVER (ORDER BY c) AS i FROM chars WHERE unicode(c) > 127),
+free AS (SELECT chr(CAST(u AS INTEGER)) AS c, row_number() OVER (ORDER BY u) AS i FROM range(1, 128) t(u)
+         WHERE chr(CAST(u AS INTEGER)) NOT IN (SELECT c FROM chars)),
+bytes AS (SELECT coalesce(string_agg(wide.c, '' ORDER BY i), '') AS wide, coalesce(string_agg(free.c, '' ORDER BY i), '') AS free
+          FROM wide JOIN free USING (i)),
+f AS (SELECT line, translate(line, (SELECT wide FROM bytes), (SELECT free FROM bytes)) AS one_byte_line,
+             length(line) AS n, {lines.edits_sql('length(line)')} AS k,
+             {", ".join(f"length(line) - length(replace(line, '{c}', '')) AS c{i}" for i, c in enumerate("etanoirs"))},
              min({{'doc_id': doc_id, 'line_no': line_no}}) AS first FROM e GROUP BY line),
 p AS (SELECT a.line AS short, a.first AS short_first, b.line AS long, b.first AS long_first
       FROM (SELECT *, unnest(range(n, n + k + 1)) AS m FROM f) a JOIN f b ON a.m = b.n
-      WHERE a.line <> b.line AND levenshtein(a.line, b.line) <= a.k),
+      WHERE a.line <> b.line AND {" AND ".join(f"abs(a.c{i} - b.c{i}) <= a.k" for i in range(8))}
+        AND levenshtein(a.one_byte_line, b.one_byte_line) <= a.k),
 x AS (SELECT short AS line, long_first AS other FROM p WHERE long_first < short_first
       UNION ALL SELECT long, short_first FROM p WHERE short_first < long_first),
 q AS (SELECT line, min(other) AS near_first FROM x GROUP BY line),
