@@ -131,30 +131,44 @@ SELECT d.doc_id, c.class_id, t.text_id, t.n_copies, CAST(coalesce(g.n, 0) AS BIG
 FROM documents d JOIN t ON coalesce(d.text, '') = t.text JOIN c ON c.text_id = t.text_id LEFT JOIN g ON g.text_id = t.text_id
 """
 
-_TEMPLATES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES)
+_TEMPLATES = ", ".join(
+    "({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(licenses.TEMPLATES)
+)
 _PLAIN = r"trim(regexp_replace(lower(coalesce({}, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 _T = licenses.THRESHOLD_PERCENT
 LICENSES = rf"""
-WITH u AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit_no FROM documents
-  UNION ALL
-  SELECT doc_id, text, len(string_split(text, chr(10))) FROM documents WHERE contains(text, chr(10))),
-n AS (SELECT doc_id, unit_no, string_split({_PLAIN.format('raw')}, ' ') AS w FROM u),
-b AS (
-  SELECT doc_id, unit_no, pair, n_pairs, row_number() OVER (PARTITION BY doc_id, unit_no, pair) AS nth
-  FROM (SELECT doc_id, unit_no, len(w) - 1 AS n_pairs, w[i] || ' ' || w[i + 1] AS pair
-        FROM n, unnest(range(1, len(w))) AS r(i) WHERE len(w) BETWEEN 2 AND 40)),
-t AS (
-  SELECT license, pair, n_wanted, row_number() OVER (PARTITION BY license, pair) AS nth
-  FROM (SELECT license, len(w) - 1 AS n_wanted, w[i] || ' ' || w[i + 1] AS pair
-        FROM (SELECT license, string_split({_PLAIN.format('text')}, ' ') AS w FROM (VALUES {_TEMPLATES}) AS v(license, text)),
-             unnest(range(1, len(w))) AS r(i))),
+WITH t AS (
+  SELECT template, license, len(w) - 1 AS n, w[i] || ' ' || w[i + 1] AS pair, count(*) AS wanted,
+         CAST(floor((len(w) - 1) * CAST({200 - _T} AS DOUBLE) / {_T}) AS INT) AS reach
+  FROM (SELECT template, license, string_split({_PLAIN.format('text')}, ' ') AS w
+        FROM (VALUES {_TEMPLATES}) AS v(template, license, text)), unnest(range(1, len(w))) AS r(i)
+  GROUP BY template, license, w, pair),
+d AS (SELECT row_number() OVER () AS d, doc_id, string_split({_PLAIN.format('text')}, ' ') AS w
+      FROM (SELECT DISTINCT doc_id, text FROM documents)),
+h AS MATERIALIZED (
+  SELECT x.d, x.doc_id, t.*, x.pos, row_number() OVER (PARTITION BY x.d, template ORDER BY x.pos) AS place
+  FROM (SELECT d, doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS pair FROM d, unnest(range(1, len(w))) AS r(i)) x
+  JOIN t USING (pair)),
+e AS (
+  SELECT a.d, a.template, a.pos AS first, b.pos AS last, a.n,
+         (b.place - a.place + 1) / CAST(a.n + b.pos - a.pos + 1 AS DOUBLE) AS share
+  FROM h a JOIN h b ON a.d = b.d AND a.template = b.template AND b.pos BETWEEN a.pos AND a.pos + a.reach - 1
+  WHERE 200 * (b.place - a.place + 1) >= {_T} * (a.n + b.pos - a.pos + 1)
+  QUALIFY row_number() OVER (PARTITION BY a.d, a.template, a.pos ORDER BY share DESC, b.pos) = 1),
 s AS (
-  SELECT doc_id, unit_no, license, CAST(2.0 AS DOUBLE) * count(*) / (any_value(n_pairs) + any_value(n_wanted)) AS dice
-  FROM b JOIN t USING (pair, nth) GROUP BY doc_id, unit_no, license HAVING dice >= {_T / 100}),
-m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY doc_id, unit_no ORDER BY dice DESC, license) = 1)
-SELECT doc_id, license, max(dice) AS dice, count(*) AS n_units, CAST(min(unit_no) AS INTEGER) AS first_unit
+  SELECT d, doc_id, template, license, n, first, last,
+         CAST(2.0 AS DOUBLE) * sum(shared) / (n + last - first + 1) AS dice
+  FROM (SELECT h.d, h.doc_id, h.template, h.license, h.n, first, last, pair, least(count(*), any_value(wanted)) AS shared
+        FROM e JOIN h ON e.d = h.d AND e.template = h.template AND h.pos BETWEEN first AND last
+        GROUP BY h.d, h.doc_id, h.template, h.license, h.n, first, last, pair)
+  GROUP BY d, doc_id, template, license, n, first, last
+  HAVING 200 * sum(shared) >= {_T} * (n + last - first + 1)),
+p AS (SELECT *, sum(fresh) OVER (PARTITION BY d ORDER BY first, last ROWS UNBOUNDED PRECEDING) AS island FROM (
+  SELECT *, CASE WHEN max(last) OVER (
+    PARTITION BY d ORDER BY first, last ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= first THEN 0 ELSE 1 END AS fresh
+  FROM s)),
+m AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY d, island ORDER BY dice DESC, n DESC, license, first) = 1)
+SELECT doc_id, license, max(dice) AS dice, count(*) AS n_places, CAST(min(first) AS INTEGER) AS first_word
 FROM m GROUP BY doc_id, license
 """
 

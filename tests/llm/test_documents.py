@@ -176,13 +176,83 @@ def test_quality_measurements_ledger_and_ablations(spark):
 
 def test_license_notices_are_found_by_dice(spark):
     text_ = "intro words here\nLicensed under the Apache License, version 2.0!\nreleased  under the MIT license\nother"
-    got = {r.doc_id: (r.license, r.first_unit) for r in licenses.scan_licenses(make(spark, [(1, text_, "s")])).collect()
-           if r.license == "MIT"}
-    assert got == {1: ("MIT", 2)}
+    got = {r.license: (r.dice, r.n_places, r.first_word) for r in licenses.scan_licenses(make(spark, [(1, text_, "s")])).collect()}
+    assert got == {"Apache-2.0": (1.0, 1, 3), "MIT": (1.0, 1, 11)}
     changed = "This work is licensed under the GNU General Public License, version 2."
     rows = licenses.scan_licenses(make(spark, [(1, changed, "s"), (2, "License", "s"), (3, "nothing of that kind here", "s")]))
     row = rows.collect()
-    assert len(row) == 1 and row[0].license == "GPL-3.0" and abs(row[0].dice - 2 * 10 / 22) < 1e-9
+    # the run ends before the changed word: 10 of its 10 and of the template's 11 bigrams
+    assert len(row) == 1 and row[0].license == "GPL-3.0" and abs(row[0].dice - 2 * 10 / 21) < 1e-9
+
+
+def test_whole_licenses_are_found_alone_wrapped_and_inside_documents(spark):
+    filler = "some other words that stand before and after ".split()
+    rows, want = [], {}
+    for k, (name, notice) in enumerate(licenses.TEMPLATES):
+        words = notice.split()
+        wrapped = "\n * ".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+        inside = " ".join(filler * 30 + words + filler * 30)
+        for j, text_ in enumerate((notice, wrapped, inside)):
+            rows.append((10 * k + j, text_, "s"))
+            want[10 * k + j] = name
+    rows += [(None, rows[0][1], "s"), (None, rows[0][1], "s"), (7001, None, "s"), (7002, "", "s"), (7003, "word " * 50_000, "s")]
+    docs = make(spark, rows).selectExpr("*", "1 AS pair", "2 AS first", "'x' AS license", "3 AS template")
+    got = {}
+    for r in licenses.scan_licenses(docs).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.dice, r.n_places))
+    for doc_id, name in want.items():
+        assert (name, 1.0, 1) in got.pop(doc_id)
+    assert got == {None: [("Apache-2.0", 1.0, 1)]}
+
+
+def plain_license_places(text_, templates, t):
+    words = re.findall(r"[^\W_]+", (text_ or "").lower())
+    pairs = list(zip(words, words[1:]))
+    runs = []
+    for name, notice in templates:
+        known = re.findall(r"[^\W_]+", notice.lower())
+        wanted = Counter(zip(known, known[1:]))
+        n = len(known) - 1
+        at = [i for i, p in enumerate(pairs) if p in wanted]
+        for x, i in enumerate(at):
+            ends = [(-(y - x + 1) / (n + j - i + 1), j) for y, j in enumerate(at) if y >= x and j - i < n * (200 - t) // t]
+            ends = [(s, j) for s, j in ends if -200 * s >= t - 1e-9]
+            if ends:
+                j = min(ends)[1]
+                shared = sum((Counter(pairs[i : j + 1]) & wanted).values())
+                if 200 * shared >= t * (n + j - i + 1):
+                    runs.append((i, j, -2 * shared / (n + j - i + 1), -n, name))
+    places, reached = [], -1
+    for i, j, cost, shorter, name in sorted(runs, key=lambda r: r[:2]):
+        if i > reached:
+            places.append([])
+        places[-1].append((cost, shorter, name, i))
+        reached = max(reached, j)
+    return [min(p) for p in places]
+
+
+def test_license_places_equal_brute_force(spark):
+    rng = random.Random(8)
+    vocabulary = "the license of this work under terms is a copy".split()
+    texts = []
+    for k in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            words = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, len(words) // 6)):
+                i = rng.randrange(len(words))
+                change = rng.randrange(3)
+                words[i : i + (change > 0)] = [rng.choice(vocabulary)] if change < 2 else []
+            parts += words * rng.choice((1, 1, 1, 2)) + rng.choices(vocabulary, k=rng.randint(0, 9))
+        texts.append(rng.choice((" ", "\n")).join(parts))
+    got = {(r.doc_id, r.license): (round(r.dice, 9), r.n_places, r.first_word)
+           for r in licenses.scan_licenses(make(spark, [(k, x, "s") for k, x in enumerate(texts)])).collect()}
+    want = {}
+    for k, text_ in enumerate(texts):
+        for cost, _, name, first in plain_license_places(text_, licenses.TEMPLATES, licenses.THRESHOLD_PERCENT):
+            best, n, begin = want.get((k, name), (0, 0, first))
+            want[k, name] = (max(best, round(-cost, 9)), n + 1, min(begin, first))
+    assert got == want and len(want) > 60
 
 
 def distance(a, b):
