@@ -499,6 +499,7 @@ SELECT DISTINCT dir_id AS scope, business_date FROM entries
 WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.dir_id = entries.dir_id AND done.business_date = entries.business_date)""",
     "forced_dates": f"SELECT DISTINCT dir_id AS scope, business_date FROM ({LEDGER}) AS e",
     "ledger_state": current(LEDGER),
+    "ledger_snapshot": current(LEDGER),
     "ledger_lookback": current(f"SELECT * FROM ({LEDGER}) AS e WHERE month >= '1997-10'"),
     "ledger_summary": f"""WITH live AS ({current(LEDGER)}), counts AS (SELECT dir_id, count(*) AS n FROM live GROUP BY 1),
 written AS (SELECT dir_id, max(recorded_at) AS last_updated FROM ({LEDGER}) AS e GROUP BY 1)

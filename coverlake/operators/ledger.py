@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coverlake.sinks.tables import clustered
+from coverlake.sources.landing import paths_like
 from coverlake.sources.local import local_frame, struct
 from coverlake.sources.tables import read_or_empty
 
@@ -45,6 +47,11 @@ IGNORED = "ignored"
 DONE = "done"
 
 LOOKBACK_MONTHS = 3
+#: Log files after the last snapshot from which on a new snapshot is worth its write.
+COMPACT_FILES = 200
+#: Log files changed so long before a snapshot are read beside it: covers slow commits and clocks that differ.
+OVERLAP = timedelta(days=1)
+SNAPSHOT_TIME = "%Y%m%dT%H%M%S%f"
 
 
 def lookback(entries: DataFrame, as_of: date, months: int = LOOKBACK_MONTHS) -> DataFrame:
@@ -84,6 +91,23 @@ def current_files(entries: DataFrame) -> DataFrame:
     )
 
 
+def folded(entries: DataFrame) -> DataFrame:
+    """What later reads need of the entries: the latest one per file, and each directory's last reset marker.
+
+    Entries that are folded twice, or are read beside their snapshot, change nothing: the latest still wins.
+    """
+    markers = (
+        entries.where(F.col("outcome") == RESET)
+        .groupBy("dir_id")
+        .agg(F.max_by(F.struct("business_date", "recorded_at"), F.col("recorded_at")).alias("marker"))
+        .select(
+            "dir_id", F.lit(None).cast("string").alias("file_name"), "marker.business_date",
+            F.lit(None).cast("string").alias("uri"), F.lit(RESET).alias("outcome"), "marker.recorded_at",
+        )
+    )
+    return current_files(entries).unionByName(markers).withColumn("month", F.date_format("business_date", "yyyy-MM"))
+
+
 def current_dates(entries: DataFrame) -> DataFrame:
     """Distinct (scope, date) since the last reset; recording a date twice changes nothing."""
     return (
@@ -113,15 +137,57 @@ def ledger_summary(entries: DataFrame, scope: str, current: DataFrame) -> DataFr
 
 
 class FileLedger:
-    """Files seen, partitioned by directory and month so that a bounded lookback reads few partitions."""
+    """Files seen, as a log of entries with a snapshot of its older part.
+
+    The log is partitioned by directory and month and only ever grows. A snapshot has one row per file; readers take the
+    newest finished one with the log files changed since, so neither the age of the lake nor the number of its runs
+    makes them open more log files.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self.snapshots = f"{path}_snapshots"
+
+    def newest_snapshot(self) -> tuple[str, datetime] | None:
+        """Folder of the newest snapshot whose write has ended, and when it was begun."""
+        finished = sorted(p.rsplit("/", 1)[0] for p in paths_like(self.spark, f"{self.snapshots}/folded_at=*/_SUCCESS"))
+        if not finished:
+            return None
+        begun = datetime.strptime(finished[-1].rsplit("=", 1)[1], SNAPSHOT_TIME)
+        return finished[-1], begun.replace(tzinfo=timezone.utc)
+
+    def tail(self, since: datetime | None) -> DataFrame:
+        """The log, or its files changed after a time, less the overlap."""
+        if since is None:
+            return read_or_empty(self.spark, self.path, FILE_LEDGER_TYPE)
+        after = f"{since - OVERLAP:%Y-%m-%dT%H:%M:%S}"
+        reader = self.spark.read.schema(FILE_LEDGER_TYPE).option("timeZone", "UTC").option("modifiedAfter", after)
+        return reader.parquet(self.path)
 
     def entries(self, as_of: date | None = None, months: int = LOOKBACK_MONTHS) -> DataFrame:
-        table = read_or_empty(self.spark, self.path, FILE_LEDGER_TYPE)
-        return table if as_of is None else lookback(table, as_of, months)
+        """Snapshot and later entries; with `as_of`, the log's entries of the lookback alone."""
+        if as_of is not None:
+            return lookback(self.tail(None), as_of, months)
+        snapshot = self.newest_snapshot()
+        if snapshot is None:
+            return self.tail(None)
+        folder, begun = snapshot
+        return self.spark.read.schema(FILE_LEDGER_TYPE).parquet(folder).unionByName(self.tail(begun))
+
+    def compact(self, least_files: int = COMPACT_FILES) -> bool:
+        """Write a snapshot if so many log files lie after the last one; whether one was written.
+
+        It is made of the last snapshot and what came since. Nothing else is touched: a write that breaks off leaves a
+        folder that no reader takes.
+        """
+        snapshot = self.newest_snapshot()
+        if len(self.tail(snapshot and snapshot[1]).inputFiles()) < least_files:
+            return False
+        begun = datetime.now(timezone.utc)
+        rows = clustered(folded(self.entries()), ["dir_id"], ["file_name"])
+        rows.write.mode("overwrite").partitionBy("dir_id").parquet(f"{self.snapshots}/folded_at={begun:{SNAPSHOT_TIME}}")
+        return True
 
     def processed(self, as_of: date | None = None, months: int = LOOKBACK_MONTHS) -> DataFrame:
         return current_files(self.entries(as_of, months))

@@ -55,6 +55,7 @@ def run_day(
         for d in directories
     }
     ingests = list(run_together(jobs).values())
+    ledger.FileLedger(spark, lake.file_ledger).compact()
     silver = silver_all(spark, lake, day, force, as_of)
     if failed := {e: s for e, s in silver.items() if s.startswith("error: ")}:
         raise RuntimeError(f"No gold load, as silver was not written for {failed}")

@@ -41,11 +41,16 @@ RESERVED_COLUMN = "reserved_column"
 LISTING_BATCH = 10_000
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or pattern stands for anything, asked of the filesystem rather than found out by a failed query."""
+def paths_like(spark: SparkSession, path: str) -> list[str]:
+    """What a path or pattern stands for, asked of the filesystem rather than found out by a failed query."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
-    return found is not None and len(found) > 0
+    return [status.getPath().toString() for status in found or ()]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern stands for anything."""
+    return bool(paths_like(spark, path))
 
 
 def _filesystem(path: str):

@@ -1,6 +1,8 @@
 """Arrival, inference, checksums, ledgers, audit and sinks."""
 
+import os
 from datetime import date, timedelta
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -157,6 +159,49 @@ def test_file_ledger(spark, tmp_path):
     assert [tuple(r)[:3] for r in book.summary().collect()] == [("inbound", 1, False)]
 
 
+def test_a_ledger_snapshot_reads_as_the_log_does(spark, tmp_path):
+    path = str(tmp_path / "files")
+    book = ledger.FileLedger(spark, path)
+    schema = "file_name string, business_date date, uri string, outcome string"
+
+    def record(dir_id, *names, day=DAY, outcome=ledger.LANDED):
+        book.record(dir_id, spark.createDataFrame([(n, day, "u", outcome) for n in names], schema))
+
+    def log_files():
+        return {Path(f).name for f in book.entries().inputFiles() if f"{path}/" in f.replace("file://", "")}
+
+    def state(entries):
+        return sorted((r.dir_id, r.file_name, r.outcome) for r in ledger.current_files(entries).collect())
+
+    assert not book.compact(1)
+    record("inbound", "gone.csv")
+    book.reset("inbound", DAY)
+    record("inbound", "old.csv", day=date(2020, 1, 1))
+    record("inbound", "twice.csv", outcome=ledger.REJECTED)
+    record("reports", "r.csv")
+    assert not book.compact(100) and book.newest_snapshot() is None
+    for f in (tmp_path / "files").rglob("*.parquet"):
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    assert book.compact(1) and state(book.entries()) == state(book.tail(None))
+    # what the snapshot has is not opened again, and nothing is left out however old it is
+    assert not log_files() and not book.compact(1)
+    record("inbound", "twice.csv", "new.csv")
+    want = [("inbound", "new.csv", "landed"), ("inbound", "old.csv", "landed"), ("inbound", "twice.csv", "landed"),
+            ("reports", "r.csv", "landed")]
+    assert state(book.entries()) == state(book.tail(None)) == want and 0 < len(log_files()) <= 2
+    # a snapshot whose write broke off is no snapshot, and entries of the overlap count once
+    broken = tmp_path / "files_snapshots/folded_at=29990101T000000000000/dir_id=inbound"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"torn")
+    assert state(book.entries()) == want and book.compact(1) and state(book.entries()) == want
+    before = [tuple(r) for r in ledger.ledger_summary(book.tail(None), "dir_id", ledger.current_files(book.tail(None))).orderBy("dir_id").collect()]
+    assert [tuple(r) for r in book.summary().orderBy("dir_id").collect()] == before
+    # a reset after the snapshot empties what the snapshot holds, and the next snapshot remembers it
+    book.reset("inbound", DAY)
+    assert book.is_first_run("inbound") and book.compact(1) and book.is_first_run("inbound")
+    assert state(book.entries()) == [("reports", "r.csv", "landed")]
+
+
 def test_date_ledger(spark, tmp_path):
     book = ledger.DateLedger(spark, str(tmp_path / "dates"))
     days = [DAY + timedelta(days=n) for n in range(3)]
