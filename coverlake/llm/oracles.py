@@ -5,7 +5,8 @@ The URL filter, the toxicity score and the language model are learned, so no SQL
 
 from __future__ import annotations
 
-from coverlake.llm import leaks, licenses, lines, lm, mixing, negatives, quality, trie
+from coverlake.llm import leaks, licenses, lines, lm, mixing, negatives, quality, trie, urls
+from coverlake.llm.text import UPPER
 from coverlake.llm.near import SHINGLE_WORDS
 from coverlake.llm.text import UPPER
 
@@ -172,6 +173,20 @@ SELECT doc_id, license, max(dice) AS dice, count(*) AS n_places, CAST(min(first)
 FROM m GROUP BY doc_id, license
 """
 
+_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.name}', '{r.verdict}')" for r in urls.RULES)
+URL_RULES = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS n, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest
+  FROM pages),
+h AS (
+  SELECT n, page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{UPPER.lower()}'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
+r AS (SELECT * FROM (VALUES {_RULES}) AS v(rule_host, rule_path, rule, rule_verdict))
+SELECT page_id, host, path, rule, rule_verdict
+FROM h LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC, rule) = 1
+"""
+
 _S = leaks.SHINGLE_WORDS
 _NORMAL = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
 LEAKS = rf"""
@@ -288,6 +303,7 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": LINES,
     "op7_ngram_jaccard_join": NEAR,
     "op8_license_scans": LICENSES,
+    "url_rules": URL_RULES,
     "lm_scoring_base": LM_BASE,
     "op10_benchmark_decontamination": LEAKS,
     "op12_conversation_prefix_trie": TRIE,
