@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import DAY, write_csv, write_sidecar
 from coverlake.operators import arrival, audit, checksum, ledger
+from coverlake.session import apply_settings
 from coverlake.sinks.landing import expire_layers, expired_partitions
 from coverlake.sinks.tables import replace_date, replace_partitions, truncate_load
 from coverlake.sources import landing
@@ -289,3 +290,8 @@ def test_clustered_files_hold_ranges_of_their_own(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     assert sum(low == high == "POL-00005000" for low, high, _ in ranges) >= 2
     assert max(n for *_, n in ranges) < 6_000
+
+
+def test_scans_deal_tables_out_in_splits_a_task_can_sort(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert apply_settings(spark).conf.get("spark.sql.files.maxPartitionBytes") == "16m"
