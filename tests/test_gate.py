@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import CLAIMS, POLICIES, PREMIUMS, REINSURANCE, ROWS
+from coverlake.checks import queries
 from coverlake.operators import gate
 from coverlake.sources.raw_csv import read_csv_files
 from coverlake.specs import REGISTRY
@@ -113,3 +114,21 @@ def test_failures_carry_the_position_a_plain_reader_counts(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     got = [(r.source_file.rpartition("/")[2], r.row_number, r.row_key, r.check_name.split("(")[0]) for r in found]
     assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
+def test_positions_in_a_month_that_many_tasks_write(spark, tmp_path, monkeypatch):
+    events = spark.range(3000).selectExpr(
+        "id AS event_id", "TIMESTAMP '2021-03-05 10:00:00' AS ts", "CASE WHEN id = 2500 THEN 7 ELSE id END AS user_id",
+        "'view' AS event_type", "CASE WHEN id IN (3, 1701, 2999) THEN -1D ELSE 5D END AS value",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = queries.violation_positions(spark, str(tmp_path)).where("column_name = 'claimed_amount'")
+        assert sorted((r.source_file, r.row_number, r.row_key) for r in found.collect()) == [
+            ("202103", n, f"CLM-{n:08d}") for n in (3, 1701, 2999)
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "positions" / "month=202103").glob("*.csv"))) > 1
