@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import DAY, write_csv, write_sidecar
 from coverlake.operators import arrival, audit, checksum, ledger
-from coverlake.session import apply_settings
+from coverlake.session import SETTINGS, apply_settings
 from coverlake.sinks.landing import expire_layers, expired_partitions
 from coverlake.sinks.tables import replace_date, replace_partitions, truncate_load
 from coverlake.sources import landing
@@ -292,6 +292,21 @@ def test_clustered_files_hold_ranges_of_their_own(spark, tmp_path):
     assert max(n for *_, n in ranges) < 6_000
 
 
+def test_sidecars_are_read_in_a_fixed_number_of_tasks(spark, tmp_path):
+    for n in range(300):
+        (tmp_path / f"{n:03d} +%41.csv.sha256").write_text(f"\n AB{n:02d}  x.csv\n")
+    for name in (".hidden.csv.sha256", "_hidden.csv.sha256", "other.csv"):
+        (tmp_path / name).write_text("ff")
+    (tmp_path / "empty.csv.sha256").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        read = read_sidecars(spark, str(tmp_path))
+        assert {(r.file_name, r.expected) for r in read.collect()} == {(f"{n:03d} +%41.csv", f"ab{n:02d}") for n in range(300)}
+        assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", SETTINGS["spark.sql.files.maxPartitionBytes"])
+
+
 def test_scans_deal_tables_out_in_splits_a_task_can_sort(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert apply_settings(spark).conf.get("spark.sql.files.maxPartitionBytes") == "16m"
