@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import CLAIMS, DAY, PREMIUMS, land_day, write_csv, write_sidecar
+from coverlake.functions import names
 from coverlake.operators.arrival import ArrivalIncomplete
 from coverlake.operators.checksum import ChecksumFailed
 from coverlake.operators.ledger import DateLedger, FileLedger
@@ -18,6 +19,7 @@ from coverlake.plans.gold import load_gold
 from coverlake.plans.ingest import ingest_directory
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import silver_backfill, silver_for_date
+from coverlake.sinks import tables
 from coverlake.sources.manifest import DIRECTORIES
 from coverlake.sources.tables import read_silver
 
@@ -322,3 +324,15 @@ def test_a_write_that_broke_off_is_redone(spark, tmp_path, monkeypatch):
         silver_for_date(spark, lake, "claims", DAY, force=True, as_of=DAY)
     monkeypatch.undo()
     assert silver_backfill(spark, lake, "claims", as_of=DAY) == {DAY: "ok"} and content(lake) == content(whole)
+
+
+def test_a_silver_write_deals_out_rows_without_derived_columns(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    write_csv(tmp_path / f"bronze/inbound/claims/{names.date_path(DAY)}/c.csv", CLAIMS)
+    dealt, whole = [], tables.clustered
+    monkeypatch.setattr(tables, "clustered", lambda rows, *a: (dealt.append(rows.columns), whole(rows, *a))[1])
+    assert silver_backfill(spark, lake, "claims", as_of=DAY) == {DAY: "ok"}
+    stored = read_silver(spark, lake.silver, "claims", DAY)
+    made = {"days_to_report", "approval_rate", "_row_hash", "_ingested_at"}
+    assert made <= set(stored.columns) and stored.where("_row_hash IS NULL").isEmpty()
+    assert not made & set(dealt[0])
