@@ -1,6 +1,7 @@
 """Arrival, inference, checksums, ledgers, audit and sinks."""
 
 import os
+import time
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -310,3 +311,17 @@ def test_sidecars_are_read_in_a_fixed_number_of_tasks(spark, tmp_path):
 def test_scans_deal_tables_out_in_splits_a_task_can_sort(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert apply_settings(spark).conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_shuffle_files_go_when_their_job_ends(spark, tmp_path):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    truncate_load(apply_settings(spark).range(100_000).withColumn("k", F.col("id") % 1000), str(tmp_path / "t"), ["k"])
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
