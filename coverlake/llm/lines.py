@@ -1,4 +1,4 @@
-"""Line dedup: equal lines by hash, lines within a few edits by a segment-partition join."""
+"""Line dedup: equal lines by hash, lines within a few edits by a join on windows of which they share one."""
 
 from __future__ import annotations
 
@@ -35,38 +35,51 @@ def line_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(i: int, length: str, edits: int) -> tuple[str, str]:
-    """Start and length, in SQL, of segment i (from 0) of a line of that length: even parts, longer ones last."""
-    parts = edits + 1
-    longer_from = f"({parts} - ({length}) % {parts})"
-    start = f"(1 + {i} * (({length}) DIV {parts}) + greatest(0, {i} - {longer_from}))"
-    return start, f"((({length}) DIV {parts}) + CASE WHEN {i} >= {longer_from} THEN 1 ELSE 0 END)"
+def least_length_sql(length: str, edits: int) -> str:
+    """The least length, in SQL, of the class that a line of that length is in: classes get wider as lines get longer."""
+    unit = max(1, edits)
+    length = f"greatest(0, {length})"
+    return f"({length} - {length} % CASE WHEN {length} < {32 * unit} THEN {2 * unit} ELSE {8 * unit} END)"
 
 
-def index_keys(edits: int) -> str:
-    """A line's segments with its length, hashed, as an SQL array."""
+def window_keys(edits: int) -> list[tuple[str, bool]]:
+    """What a line of n characters shows in a class of least length `least`: hashes, in SQL, and whether each is moved.
+
+    The class lays out edits + 1 zones, the first half of them counted from the line's start, the others from its end.
+    Of two lines within `edits` edits, some zone i of the one stands unchanged in the other with no more than i edits
+    before and edits - i behind it, so moved by `room` at most, the lesser of the two. A zone is a window and its room:
+    moved either way, the window at the zone's start in one of the lines is the window so much further in the other.
+    """
+    rooms = [min(i, edits - i) for i in range(edits + 1)]
+    size = f"greatest(0, (least - {sum(rooms)}) DIV {edits + 1})"
     keys = []
-    for i in range(edits + 1):
-        start, size = _segment(i, "n", edits)
-        keys.append(f"xxhash64({i}, n, substr(line, {start}, {size}))")
-    return f"array({', '.join(keys)})"
+    for i, room in enumerate(rooms):
+        if 2 * i <= edits:
+            start = f"1 + {i} * {size} + {sum(rooms[:i])}"
+        else:
+            start = f"1 + n - {edits + 1 - i} * {size} - {sum(rooms[i:])}"
+        keys += [(f"xxhash64({i}, least, substr(line, {start} + {by}, {size}))", by > 0) for by in range(room + 1)]
+    return keys
 
 
-def probe_keys(edits: int) -> str:
-    """What a line looks up, as an SQL array of (key, shorter): substrings where a segment of another line can lie.
+def line_windows(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """What different lines are found by, never their text: h1, n (characters), sketch, key, moved.
 
-    Of two lines within `edits` edits, one segment of the shorter line stands unchanged in the longer one, shifted by no
-    more than the edits left of it, and by no more than the edits right of it when counted from the end. A line probes
-    the indexes of its own length and of up to `edits` smaller ones.
+    Lines of lengths up to `edits` apart meet in a class: each is in its own and in that of a line so much shorter,
+    which is the same one for most.
     """
-    keys = []
-    for less in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(i, f"n - {less}", edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                key = f"xxhash64({i}, n - {less}, substr(line, {start} + {shift}, {size}))"
-                keys.append(f"named_struct('key', {key}, 'shorter', {'true' if less else 'false'})")
-    return f"array({', '.join(keys)})"
+    rows = line_rows(docs).where("h1 IS NOT NULL").selectExpr(
+        "h1", "line", "length(line) AS n", f"{sketch_sql()} AS sketch"
+    )
+    classes = f"array({least_length_sql('n', edits)}, {least_length_sql(f'n - {edits}', edits)})"
+    shown = window_keys(edits)
+    classed = rows.selectExpr("*", f"explode(array_distinct({classes})) AS least").selectExpr(
+        "h1", "n", "sketch", *(f"{key} AS key{k}" for k, (key, _) in enumerate(shown))
+    )
+    windows = ", ".join(
+        f"struct(key{k} AS key, {'true' if moved else 'false'} AS moved)" for k, (_, moved) in enumerate(shown)
+    )
+    return classed.distinct().selectExpr("h1", "n", "sketch", f"inline(array({windows}))")
 
 
 def sketch_sql() -> str:
@@ -118,26 +131,26 @@ def first_lines(rows: DataFrame) -> DataFrame:
     return long_enough.groupBy("h1", "h2").agg(F.expr("min(struct(doc_id, line_no, text_hash)) AS first"))
 
 
-def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS) -> DataFrame:
+def line_links(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs of different lines within `edits` edits of each other, by their hashes: a1, a2, b1, b2.
 
-    Each different line is taken from where it stands first, exploded into segment keys and substring keys, and joined
-    on them. Within the join, character counts drop pairs that are surely further apart, so the rows it makes follow
-    the links rather than the square of the lines that share a segment. What is left is verified on whole lines. Only
-    one hash travels with the keys; lines that share it by chance are told apart there. All links are found.
+    Each different line is exploded into the hashes of a few windows, and these are joined with themselves. Within the
+    join, lengths and character counts drop pairs that are surely further apart, so the rows it makes follow the links
+    rather than the square of the lines that share a window. What is left is verified on whole lines. Only one hash
+    travels with the keys; lines that share it by chance are told apart there. All links are found.
     """
     rows = line_rows(docs).where("h1 IS NOT NULL")
-    places = firsts.selectExpr("first.doc_id AS d", "first.line_no AS l", "first.text_hash AS t").hint("shuffle_hash")
-    distinct = rows.join(
-        places, rows.doc_id.eqNullSafe(places.d) & (rows.line_no == places.l) & (rows.text_hash == places.t), "left_semi"
-    ).selectExpr("h1", "line", "length(line) AS n", f"{sketch_sql()} AS sketch")
-    index = distinct.selectExpr("h1 AS a1", "sketch AS a_sketch", f"explode({index_keys(edits)}) AS key")
-    probes = distinct.selectExpr("h1 AS b1", "sketch AS b_sketch", f"inline({probe_keys(edits)})").withColumnRenamed(
-        "key", "probe_key"
+    windows = line_windows(docs, edits)
+    left, right = (
+        windows.selectExpr(*(f"{c} AS {side}_{c}" for c in windows.columns)) for side in ("a", "b")
     )
     close = sketches_within_sql("a_sketch", "b_sketch", edits)
-    pairs = index.join(probes, (index.key == probes.probe_key) & F.expr(f"(shorter OR b1 > a1) AND {close}"))
-    pairs = materialise(pairs.select("a1", "b1").distinct(), "line-pairs")
+    pairs = left.join(
+        right,
+        (left.a_key == right.b_key)
+        & F.expr(f"a_h1 < b_h1 AND NOT (a_moved AND b_moved) AND abs(a_n - b_n) <= {edits} AND {close}"),
+    ).selectExpr("a_h1 AS a1", "b_h1 AS b1")
+    pairs = materialise(pairs.distinct(), "line-pairs")
     ends = materialise(pairs.selectExpr("a1 AS h1").union(pairs.selectExpr("b1 AS h1")).distinct(), "line-ends")
     if ends.count() <= BROADCAST_LINES:
         ends = F.broadcast(ends)
@@ -164,7 +177,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     rows = materialise(line_rows(docs).drop("line"), "lines")
     firsts = materialise(first_lines(rows), "line-firsts")
-    both = materialise(line_links(docs, firsts, edits), "line-links").selectExpr(
+    both = materialise(line_links(docs, edits), "line-links").selectExpr(
         "inline(array(struct(a1, a2, b1, b2), struct(b1 AS a1, b2 AS a2, a1 AS b1, a2 AS b2)))"
     )
     partners = both.join(firsts.selectExpr("h1 AS b1", "h2 AS b2", "first"), ["b1", "b2"]).groupBy("a1", "a2").agg(

@@ -314,6 +314,42 @@ def test_line_links_are_complete(spark, prose):
             assert row.first_docs == [min(earlier)]
 
 
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_few_windows_of_a_line_find_all_lines_within_the_edits(spark, edits):
+    """Of lengths around the bounds of the classes; a line shows no more than two classes' windows, not fifteen keys."""
+    r = random.Random(edits)
+    given = []
+    for n in [20, 21, 23, 24, 25, 31, 32, 33, 47, 63, 64, 65, 66, 79, 80, 81, 95, 96, 97, 98, 127, 128, 129, 143, 144, 145] * 3:
+        line = [r.choice("abcd") for _ in range(n)]
+        given.append("".join(line))
+        for _ in range(4):
+            edited = list(line)
+            # edits in one place, at the ends and spread out
+            places = [r.choice([0, n // 2, n - 1, r.randrange(n)]) for _ in range(edits)]
+            for place in places:
+                what = r.randrange(3)
+                if what == 0:
+                    edited.insert(min(place, len(edited)), r.choice("ab😀"))
+                elif what == 1:
+                    edited.pop(min(place, len(edited) - 1))
+                else:
+                    edited[min(place, len(edited) - 1)] = r.choice("cdé")
+            given.append("".join(edited))
+    docs = make(spark, [(i, t, "s") for i, t in enumerate(given)]).repartition(4)
+    at = {r.h1: r.line for r in lines.line_rows(docs).where("h1 IS NOT NULL").collect()}
+    got = {frozenset((at[r.a1], at[r.b1])) for r in lines.line_links(docs, edits).collect()}
+    long_enough = sorted(set(at.values()), key=len)
+    wanted = set()
+    for k, a in enumerate(long_enough):
+        for b in itertools.takewhile(lambda b, a=a: len(b) <= len(a) + edits, long_enough[k + 1 :]):
+            if sum((Counter(a) - Counter(b)).values()) <= edits and distance(a, b) <= edits:
+                wanted.add(frozenset((a, b)))
+    assert got == wanted and len(wanted) > 300
+    shown = Counter(r.h1 for r in lines.line_windows(docs, edits).collect())
+    assert max(shown.values()) <= 2 * len(lines.window_keys(edits))
+    assert len(lines.window_keys(2)) == 4
+
+
 def test_lines_are_trimmed_of_form_feeds_and_keep_their_outer_f(spark):
     least = "one line of the roof"  # just as long as needed
     other = "from here to the roof of it"
