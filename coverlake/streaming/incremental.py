@@ -19,6 +19,7 @@ from coverlake.plans.ingest import check_digests, folder_of, process_files
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import merge_files
 from coverlake.sources.manifest import manifest_table
+from coverlake.sources.raw_csv import BRONZE_FILES
 from coverlake.sources.tables import read_or_empty
 
 # The columns of Spark's binary file source.
@@ -63,7 +64,7 @@ def stream_silver(
         merge_files(batch.sparkSession, lake, entity, batch.select("path", "length"), as_of)
 
     return (
-        watch_files(spark, f"{lake.bronze}/*/{entity}", "*.csv", files_per_batch)
+        watch_files(spark, f"{lake.bronze}/*/{entity}", BRONZE_FILES, files_per_batch)
         .writeStream.foreachBatch(derive)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

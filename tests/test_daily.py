@@ -1,9 +1,12 @@
 """The whole day on fixture files: goldens, idempotence and recovery."""
 
+import gzip
 import os
+import threading
 from datetime import date, timedelta
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,12 +16,14 @@ from coverlake.operators.arrival import ArrivalIncomplete
 from coverlake.operators.checksum import ChecksumFailed
 from coverlake.operators.ledger import DateLedger, FileLedger
 from coverlake.plans import daily
+from coverlake.plans import gold as gold_plan
 from coverlake.plans import silver as silver_plan
 from coverlake.plans.daily import run_day
 from coverlake.plans.gold import load_gold
 from coverlake.plans.ingest import ingest_directory
 from coverlake.plans.layout import Lake
 from coverlake.plans.silver import silver_backfill, silver_for_date
+from coverlake.plans.together import run_together, statuses
 from coverlake.sinks import tables
 from coverlake.sources.manifest import DIRECTORIES
 from coverlake.sources.tables import read_silver
@@ -336,3 +341,91 @@ def test_a_silver_write_deals_out_rows_without_derived_columns(spark, tmp_path,
     made = {"days_to_report", "approval_rate", "_row_hash", "_ingested_at"}
     assert made <= set(stored.columns) and stored.where("_row_hash IS NULL").isEmpty()
     assert not made & set(dealt[0])
+
+
+def packed(path):
+    """The file in gzip form, in its place."""
+    with gzip.open(f"{path}.gz", "wb") as handle:
+        handle.write(path.read_bytes())
+    path.unlink()
+
+
+def test_bronze_may_be_packed(spark, tmp_path):
+    """Plain and gzip files of a date together, with a record over two lines; the later file's row wins."""
+    folder = tmp_path / f"bronze/inbound/claims/{names.date_path(DAY)}"
+    write_csv(folder / "a.csv", CLAIMS)
+    packed(write_csv(folder / "b.csv", [dict(CLAIMS[0], claimant_name="two\nlines", claimed_amount="7.0")]))
+    lake = Lake(str(tmp_path))
+    assert silver_backfill(spark, lake, "claims", as_of=DAY) == {DAY: "ok"}
+    assert rows_of(read_silver(spark, lake.silver, "claims", DAY), "claim_id", "claimant_name", "claimed_amount") == [
+        ("CLM-20260001", "two\nlines", 7.0), ("CLM-20260002", "Bob Dupont", 12000.0),
+    ]
+
+
+def test_layer_tables_are_packed_well(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    bronze_claims(tmp_path, [DAY])
+    silver_backfill(spark, lake, "claims", as_of=DAY)
+    codecs = {pq.read_metadata(f).row_group(0).column(0).compression for f in tmp_path.glob("silver/claims/**/*.parquet")}
+    assert codecs == {"ZSTD"}
+
+
+def test_rows_of_one_date_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """By the key; those of several dates are dealt out by date as well."""
+    lake, whole, plans = Lake(str(tmp_path)), tables.clustered, []
+
+    def seen(rows, *a):
+        dealt = whole(rows, *a)
+        plans.append(dealt._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return dealt
+
+    monkeypatch.setattr(tables, "clustered", seen)
+    days = [DAY, DAY + timedelta(days=1)]
+    bronze_claims(tmp_path, days)
+    silver_for_date(spark, lake, "claims", DAY, as_of=DAY)
+    silver_backfill(spark, lake, "claims", force=True, as_of=DAY)
+    assert plans == [1, 2]
+    assert rows_of(read_silver(spark, lake.silver, "claims", days[1]), "claim_id") == [("CLM-20260001",), ("CLM-20260002",)]
+
+
+def test_large_jobs_run_alone():
+    lock, running, seen = threading.Lock(), set(), {}
+
+    def job(name):
+        with lock:
+            running.add(name)
+            seen[name] = set(running)
+        threading.Event().wait(0.05)
+        with lock:
+            running.discard(name)
+        if name == "c":
+            raise ValueError(name)
+        return name
+
+    jobs = {n: (lambda n=n: job(n)) for n in "abcd"}
+    assert list(statuses(jobs, ["d", "c"]).items()) == [("a", "a"), ("b", "b"), ("c", "error: c"), ("d", "d")]
+    assert list(seen)[:2] == ["d", "c"] and seen["d"] == {"d"} and seen["c"] == {"c"}
+    with pytest.raises(ValueError):
+        run_together(jobs, ["c"])
+
+
+def test_a_fact_loaded_in_parts_is_the_whole_fact(spark, tmp_path, monkeypatch):
+    land_day(tmp_path, rows={"claims": [dict(CLAIMS[k % 2], claim_id=f"CLM-{k:08d}") for k in range(60)]})
+    lake = Lake(str(tmp_path))
+    run_day(spark, str(tmp_path), DAY, as_of=DAY)
+    stored = read_silver(spark, lake.silver, "claims", DAY)
+    stored.repartition(5).write.parquet(str(tmp_path / "five"))
+    folder = Path(f"{lake.silver}/claims/{names.date_path(DAY)}")
+    for old in folder.glob("*.parquet"):
+        old.unlink()
+    for new in (tmp_path / "five").glob("*.parquet"):
+        (folder / new.name).write_bytes(new.read_bytes())
+    fact = lambda: rows_of(spark.read.parquet(f"{lake.gold}/fact_claims"), "claim_id", "_row_hash", "ingestion_date", "net_claim_cost")
+    whole, appended, append = fact(), [], gold_plan.append_date
+    monkeypatch.setattr(gold_plan, "PART_BYTES", 1)
+    monkeypatch.setattr(gold_plan, "LARGE_BYTES", 1)
+    monkeypatch.setattr(gold_plan, "append_date", lambda rows, path, *a: (appended.append(path), append(rows, path, *a)))
+    assert set(load_gold(spark, lake, DAY, force=True).values()) == {"ok"}
+    assert len(whole) == 60 and fact() == whole
+    assert appended.count(f"{lake.gold}/fact_claims") == 4
+    assert load_gold(spark, lake, DAY)["fact_claims"] == "skipped" and fact() == whole
