@@ -429,3 +429,19 @@ def test_a_fact_loaded_in_parts_is_the_whole_fact(spark, tmp_path, monkeypatch):
     assert len(whole) == 60 and fact() == whole
     assert appended.count(f"{lake.gold}/fact_claims") == 4
     assert load_gold(spark, lake, DAY)["fact_claims"] == "skipped" and fact() == whole
+
+
+def test_a_backfill_of_many_bytes_is_several_jobs(spark, tmp_path, monkeypatch):
+    """As many dates together as keep within the bound; gzip files count as the text they hold."""
+    lake, days, jobs = Lake(str(tmp_path)), [DAY + timedelta(days=k) for k in range(5)], []
+    bronze_claims(tmp_path, days)
+    length = os.path.getsize(tmp_path / f"bronze/inbound/claims/{names.date_path(DAY)}/claims_{DAY:%Y%m%d}.csv")
+    packed(write_csv(tmp_path / f"bronze/reports/claims/{names.date_path(days[3])}/more.csv", [dict(CLAIMS[0], claim_id="CLM-9")]))
+    rebuild = silver_plan.rebuild_dates
+    monkeypatch.setattr(silver_plan, "BATCH_BYTES", 2 * length)
+    monkeypatch.setattr(silver_plan, "rebuild_dates", lambda *a: (jobs.append(a[3]), rebuild(*a))[1])
+    assert silver_backfill(spark, lake, "claims", as_of=DAY) == dict.fromkeys(days, "ok")
+    assert jobs == [days[:2], days[2:3], days[3:4], days[4:]]
+    stored = spark.read.parquet(f"{lake.silver}/claims")
+    assert {r["day"]: r["count"] for r in stored.groupBy("day").count().collect()} == {d.day: 2 + (d == days[3]) for d in days}
+    assert silver_backfill(spark, lake, "claims", as_of=DAY) == {} and silver_backfill(spark, lake, "policies") == {}
